@@ -25,8 +25,8 @@ SCALE = 1_000_000
 #: verdict, host, path
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BAD = "cheap-pills casino-win adult-x free-bets spam-farm ads-track win-casino-bonus free-money click-ads bet-online pills-shop adult-cams track-pixel hot-loans spam-links poker-bets xxx-tube viagra-store".split()
-_GOOD = "thering museum tionble weather-news ththon city-library open-source garden therha school-board river-guide ththand thernd recipes tionsh history erhand maps health-advice".split()
+_BAD = "discount-pills casino-royal adult-video sports-bets spam-mail ads-server casino-bonus free-money click-ads bet-online pills-shop adult-cams track-pixel hot-loans link-farm poker-bets xxx-tube cheap-meds win-prizes".split()
+_GOOD = "lighthouse museum timetable weather-news thermal city-library open-source garden theatre school-board river-guide northern together recipes stations history orchard maps health-advice".split()
 
 
 def labelled_urls() -> list[tuple[str, str, int]]:
