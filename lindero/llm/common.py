@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from itertools import accumulate, chain
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,21 +46,30 @@ class ChunkCache(dict):
         super().__init__()
         self.fill, self.limit = fill, limit
 
-    def learn(self, texts: list[list]) -> None:
-        """Afterwards every chunk of ``texts`` is a key, until the next call."""
-        if len(self) > self.limit:
-            self.clear()
-        new = list(set().union(*texts).difference(self))
-        for i in range(0, len(new), 20_000):
-            self.update(zip(new[i : i + 20_000], self.fill(new[i : i + 20_000])))
-
-
-def batches(rows: Iterator, size: int) -> Iterator[list]:
-    out: list = []
-    for r in rows:
-        out.append(r)
-        if len(out) == size:
-            yield out
-            out = []
-    if out:
-        yield out
+    def look(self, texts: list[list]) -> list[list]:
+        """The forms of all chunks of each text."""
+        words = list(chain.from_iterable(texts))
+        found = list(map(self.get, words))
+        if None in found:
+            if len(self) > self.limit:
+                self.clear()
+            gaps = [i for i, f in enumerate(found) if f is None]
+            new = list({words[i] for i in gaps})
+            for i in range(0, len(new), 20_000):
+                self.update(zip(new[i : i + 20_000], self.fill(new[i : i + 20_000])))
+            for i in gaps:
+                found[i] = self[words[i]]
+        ends = list(accumulate(map(len, texts)))
+        return [found[a:b] for a, b in zip([0, *ends], ends)]
+
+
+#: Where cutting at spaces, line ends and single stops and commas could part what a vocabulary joins.
+_ODD = re.compile(r"\s\s|[\x01\x1c-\x1f\x85]|[\W_][.,]|^[.,]")
+
+
+def cut(text: str) -> list[str] | None:
+    """A text in chunks: a space begins one; a line end, and a stop or comma before a space, is one of its own. None
+    where that isn't safe: runs of white space or of punctuation. Concatenated, the chunks are the text."""
+    if _ODD.search(text):
+        return None
+    return text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").replace(",\x01", "\x01,\x01").replace(".\x01", "\x01.\x01").split("\x01")

@@ -47,10 +47,8 @@ class Shingles:
 
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         parts = [t.encode().lower().split() if t else [] for t in texts]
-        self.cache.learn(parts)
-        get = self.cache.__getitem__
-        for p in parts:
-            h = np.fromiter(map(get, p), np.uint64, len(p))
+        for p in self.cache.look(parts):
+            h = np.fromiter(p, np.uint64, len(p))
             m = min(self.k, len(h))
             if not m:
                 yield h

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ChunkCache, bounded_batches, table
+from .common import ChunkCache, bounded_batches, cut, table
 
 MARK = "▁"
 _LETTER = regex.compile(r"[\p{L}\p{Nd}\p{M}]")
@@ -51,10 +51,9 @@ class Codec:
         meets = {(_kind(a), _kind(b)) for p in ids for a, b in zip(p, p[1:])}
         if {(1, 0), (2, 0)} & meets or not self.byte_ids:
             raise ValueError("pieces continue over spaces, or the vocabulary has no byte fallback")
-        self.finer = not {(1, 2), (2, 1)} & meets
+        self.finer = not {(1, 2), (2, 1)} & meets and not any("\n" in p for p in ids)
         self.units = regex.compile(rf"{MARK}*[\p{{L}}\p{{Nd}}\p{{M}}]+|{MARK}*[^\p{{L}}\p{{Nd}}\p{{M}}{MARK}]+|{MARK}+").findall
-        self.unit_ids, self.unit_text = {}, {}
-        self.cache, self.texts = ChunkCache(self._fill), {}
+        self.cache = ChunkCache(self._fill, 400_000)
 
     def agenda(self, symbols: str) -> list[int]:
         """Ids of one run of characters, in which spaces are marks already."""
@@ -98,45 +97,30 @@ class Codec:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
-    def _fill(self, chunks: list[str]) -> list[str]:
-        """A chunk without a mark has one before it."""
-        if len(self.unit_ids) > 400_000:
-            self.unit_ids.clear()
-            self.unit_text.clear()
-        if len(self.texts) > self.cache.limit + len(chunks):
-            self.texts.clear()
-            self.cache.clear()
-        out = []
-        ids, texts = self.unit_ids, self.unit_text
-        for c in chunks:
-            whole = c if c[:1] == MARK else MARK + c
-            parts = self.units(whole) if self.finer else [whole]
-            for u in parts:
-                if u not in ids:
-                    got = self.agenda(u)
-                    ids[u], texts[u] = ",".join(map(str, got)), self.decode(got)
-            out.append(",".join([ids[u] for u in parts]))
-            self.texts[c] = "".join([texts[u] for u in parts])
-        # the library puts a mark before each chunk itself
-        for c, own, lib in zip(chunks, out, self.lib.encode([c[1:] if c[:1] == MARK else c for c in chunks], num_threads=1)):
-            if c != MARK and c and own != ",".join(map(str, lib)):
-                raise AssertionError(f"differs from the library: {c!r}")
-        return out
-
-    def chunks(self, text: str) -> list[str]:
+    def _parts(self, text: str) -> list[str]:
+        """Chunks, in which spaces are marks, that no piece reaches beyond."""
         if not text:
             return []
-        if "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":
-            return text.split(" ")
-        return [c if c[1:2] in ("", MARK) else c[1:] for c in _CHUNK.findall(MARK + text.replace(" ", MARK))]
+        if (p := cut(" " + text) if self.finer and text[0] not in " .," else None) is not None and MARK not in text:
+            return p[1:]
+        return [x for c in _CHUNK.findall(MARK + text.replace(" ", MARK)) for x in (self.units(c) if self.finer else [c])]
+
+    def _fill(self, chunks: list[str]) -> list[tuple[str, str]]:
+        """(ids in decimal, text) of each; the library must give the same ids. It sets a mark before a text, so a
+        chunk without one is shown to it after a line end, which no piece contains."""
+        marked = [MARK + c[1:] if c[:1] == " " else c for c in chunks]
+        own = [self.agenda(c) for c in marked]
+        lib = self.lib.encode([c[1:] if c[:1] == MARK else "\n" + c for c in marked], num_threads=1)
+        for c, a, b in zip(marked, own, lib):
+            if a != (b if c[:1] == MARK else b[2:]) and c != MARK and c:
+                raise AssertionError(f"differs from the library: {c!r}")
+        return [(",".join(map(str, a)), self.decode(a)) for a in own]
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """Per text: its ids in decimal, joined by commas; what they decode to."""
-        parts = [self.chunks(t) for t in texts]
-        self.cache.learn(parts)
-        get, back = self.cache.__getitem__, self.texts.__getitem__
-        for p in parts:
-            yield ",".join(map(get, p)), "".join(map(back, p))[1:]
+        for found in self.cache.look([self._parts(t) for t in texts]):
+            ids, back = zip(*found) if found else ((), ())
+            yield ",".join([i for i in ids if i]), "".join(back)[1:]
 
 
 @lru_cache(maxsize=2)

@@ -1,8 +1,7 @@
-"""Exact ids of the installed ``tokenizers`` vocabularies, by chunks between spaces.
+"""Exact ids of the installed ``tokenizers`` vocabularies, by chunks.
 
-Neither vocabulary has a token that continues over a space that follows a non-space character, so a text may be
-cut there and every chunk's ids be kept in a bounded cache. Byte-level texts where a white-space character is
-followed by a space are given to the library whole.
+Neither vocabulary has a token that continues over a place where ``common.cut`` cuts, so every chunk's ids may be kept
+in a bounded cache. Texts that can't be cut so are given to the library whole (byte-level) or cut at spaces alone.
 """
 
 from __future__ import annotations
@@ -10,14 +9,14 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 
-from .common import ChunkCache
+from .common import ChunkCache, cut
 
 #: How byte-level vocabularies split a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_MIXED = re.compile(r"\s |[\x1c-\x1f\x85]")
 
 
 def _bytes_of_letters() -> dict[str, int]:
@@ -46,30 +45,23 @@ class ByteLevelIds:
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _fill(self, chunks: list) -> list[bytes]:
-        """A tuple holds the first chunk of a text, which has no space before it."""
-        encode = self.core.encode_ordinary
-        ids = [encode(" " + c if type(c) is str else c[0]) for c in chunks]
-        ends = np.cumsum([4 * len(x) for x in ids]).tolist()
-        flat = np.asarray([i for x in ids for i in x], "<u4").tobytes()
+    def _fill(self, chunks: list[str]) -> list[bytes]:
+        whole, one = self.core.encode_ordinary, self.core.encode_single_piece
+        ids = [one(c.encode()) if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else whole(c) for c in chunks]
+        ends = list(accumulate(4 * len(x) for x in ids))
+        flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4 if ends else 0).tobytes()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
-        parts: list[list] = []
-        for t in texts:
-            if not t or _MIXED.search(t) or t[0] == " " or t[-1].isspace() or any(s in t for s in self.special):
-                parts.append([])
-            else:
-                first, *rest = t.split(" ")
-                parts.append([(first,), *rest])
-        self.cache.learn(parts)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, p)) if p else self._whole(t) if t else b"" for t, p in zip(texts, parts)]
+        parts = [None if any(s in t for s in self.special) else cut(t) for t in texts]
+        found = self.cache.look([p or () for p in parts])
+        return [self._whole(t) if p is None else b"".join(f) for t, p, f in zip(texts, parts, found)]
 
 
 #: Chunks of these letters alone are the same under NFC, and Python lower-cases them as the library does.
 _LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_BEYOND = re.compile(r"[^\x00-\xff]")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
@@ -100,19 +92,25 @@ class WordLevelIds:
         return out
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        latin, cut = _LATIN.fullmatch, _WORDS.findall
-        parts = [cut(c.lower()) if latin(c) and "<|" not in c else None for c in chunks]
-        self.words.learn([p for p in parts if p])
-        other = iter(self._encode([c for c, p in zip(chunks, parts) if p is None]))
-        get = self.words.__getitem__
-        return [next(other).tobytes() if p is None else b"".join(map(get, p)) for p in parts]
+        """A chunk may have a space before it."""
+        latin, words = _LATIN.fullmatch, _WORDS.findall
+        bare = [c[1:] if c[:1] == " " else c for c in chunks]
+        plain = [c for c in bare if c.isalpha() and c.islower() and latin(c)]
+        out = dict(zip(plain, self._words(plain)))
+        rest = list({c for c in bare if c not in out})
+        parts = [words(c.lower()) if latin(c) and "<|" not in c else None for c in rest]
+        forms = self.words.look([p or () for p in parts])
+        other = iter(self._encode([c for c, p in zip(rest, parts) if p is None]))
+        out.update((c, next(other).tobytes() if p is None else b"".join(f)) for c, p, f in zip(rest, parts, forms))
+        return [out[c] for c in bare]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
-        parts = [t.split(" ") for t in texts]
-        self.cache.learn(parts)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        parts = []
+        for t in texts:
+            p = None if _BEYOND.search(t) else cut(t.lower())
+            parts.append(t.split(" ") if p is None else p)
+        return [b"".join(f) for f in self.cache.look(parts)]
 
 
 @lru_cache(maxsize=4)
