@@ -67,9 +67,20 @@ class ChunkCache(dict):
 _ODD = re.compile(r"\s\s|[\x01\x1c-\x1f\x85]|[\W_][.,]|^[.,]")
 
 
+class Kinds:
+    """The same test for texts of the first 256 characters, as byte strings: w word, s space, p other, d stop, x odd."""
+
+    TABLE = bytes(ord("x" if re.match(r"[\x01\x1c-\x1f\x85]", c) else "s" if c.isspace() else "d" if c in ".," else "w" if c.isalnum() else "p") for c in map(chr, range(256)))
+
+
 def cut(text: str) -> list[str] | None:
     """A text in chunks: a space begins one; a line end, and a stop or comma before a space, is one of its own. None
     where that isn't safe: runs of white space or of punctuation. Concatenated, the chunks are the text."""
-    if _ODD.search(text):
-        return None
+    try:
+        k = text.encode("latin-1").translate(Kinds.TABLE)
+        if b"ss" in k or b"x" in k or b"sd" in k or b"pd" in k or b"dd" in k or k[:1] == b"d":
+            return None
+    except UnicodeEncodeError:
+        if _ODD.search(text):
+            return None
     return text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").replace(",\x01", "\x01,\x01").replace(".\x01", "\x01.\x01").split("\x01")

@@ -61,10 +61,17 @@ class ByteLevelIds:
 
 #: Chunks of these letters alone are the same under NFC, and Python lower-cases them as the library does.
 _LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_BEYOND = re.compile(r"[^\x00-\xff]")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
+def _first_256(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordLevelIds:
     """Ids where white space is dropped and words have ends. A new chunk is cut into words; new words go to
     ``tokenizers`` many at a time, and the ids that end words tell them apart again."""
@@ -108,7 +115,7 @@ class WordLevelIds:
         """Little-endian unsigned 32-bit ids of each whole text."""
         parts = []
         for t in texts:
-            p = None if _BEYOND.search(t) else cut(t.lower())
+            p = cut(t.lower()) if t.isascii() or _first_256(t) else None
             parts.append(t.split(" ") if p is None else p)
         return [b"".join(f) for f in self.cache.look(parts)]
 
