@@ -36,6 +36,10 @@ def _parts(length: str) -> str:
 _KEYS = f"""flatten(transform(array(__m, __m - 1), l -> transform(sequence(0, {_parts("l")} - 1), s -> named_struct('l', l, 's', s, 'k',
   xxhash64(l, s, substring(__line, 1, CAST(floor(l * s / {_parts("l")}) AS INT)), substring(__line, CAST(floor(l * (s + 1) / {_parts("l")}) AS INT) + __m - l + 1, __m))))))"""
 
+#: The same for lines of two parts, as plain expressions.
+_TWO = ", ".join(f"xxhash64(CAST({l} AS INT), 0, '', substring(__line, CAST(floor({l} / 2) AS INT) + __m - ({l}) + 1, __m)), xxhash64(CAST({l} AS INT), 1, substring(__line, 1, CAST(floor({l} / 2) AS INT)), '')" for l in ("__m", "(__m - 1)"))
+_HASHES = f"CASE WHEN __m <= {2 * PART} THEN array({_TWO}) ELSE transform({_KEYS}, x -> x.k) END"
+
 
 def _identified(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__n": F.col("doc_id").isNotNull().cast("int"), "__d": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__t": F.xxhash64("text")})
@@ -64,7 +68,7 @@ def near_lines(texts: DataFrame, occ: DataFrame, lines: DataFrame) -> DataFrame:
     same = f"transform(sequence(1, length(w)), i -> named_struct('v', xxhash64('same', k, i, {without}), 'kind', 0))"
     longer = f"transform(sequence(1, length(w)), i -> named_struct('v', xxhash64('more', k, {without}), 'kind', 2))"
     variants = F.expr(f"CASE WHEN short THEN concat({same}, array(named_struct('v', xxhash64('more', k, w), 'kind', 1))) ELSE {longer} END")
-    rows = part.where("length(w) > 0").select(*HASH, "__first", F.explode(variants).alias("x")).select(*HASH, "__first", "x.v", "x.kind")
+    rows = materialize(part.where("length(w) > 0").select(*HASH, "__first", F.explode(variants).alias("x")).select(*HASH, "__first", "x.v", "x.kind"))
     # of equal variants: kind 0 meets kind 0; 1 and 2 meet each other
     best = rows.groupBy("v").agg(F.min(F.when(F.col("kind") != 2, F.col("__first"))).alias("a"), F.min(F.when(F.col("kind") == 2, F.col("__first"))).alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
     other = F.when(F.col("kind") == 1, F.col("b")).otherwise(F.col("a"))
@@ -78,7 +82,7 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The same rows and columns, texts without the removed lines; ``__lines`` and ``__removed`` count them."""
     texts = _identified(docs)
     lined = texts.select(*DOC, F.posexplode(F.split("text", "\n")).alias("__p", "__line")).withColumn("__m", F.length("__line")).where(F.col("__m") >= min_chars)
-    occ = materialize(lined.select(*DOC, "__p", F.xxhash64("__line").alias("__h1"), F.xxhash64(F.lit(7), "__line").alias("__h2"), F.expr(f"transform({_KEYS}, x -> x.k)").alias("__keys")))
+    occ = materialize(lined.select(*DOC, "__p", F.xxhash64("__line").alias("__h1"), F.xxhash64(F.lit(7), "__line").alias("__h2"), F.expr(_HASHES).alias("__keys")))
     lines = occ.groupBy(*HASH).agg(_earliest().alias("__first"), F.count(F.lit(1)).alias("__count"))
     near = near_lines(texts, occ, lines).withColumn("__near", F.lit(True))
     gone = lines.join(near, HASH, "left").where("__count > 1 OR __near")
