@@ -8,7 +8,8 @@ a list with. Inside a block each set asks an inverted index for the sets with at
 common: short lists are merged on a heap that skips, long ones probed by binary search. Sets already connected are not
 asked for again, and nothing is emitted but links that connect.
 
-Blocks over ``CHUNK`` nodes are cut into chunks. Chunks are searched first; only where a block's nodes then lie in
+Before sets travel to blocks, bitmaps of an eighth of their size do: members without a partner that these leave
+possible go. Blocks over ``CHUNK`` nodes are cut into chunks. Chunks are searched first; only where a block's nodes then lie in
 more than one component do chunks meet in pairs, and only nodes of different components are compared. So no link
 between different components is lost, and a group of thousands of near copies costs about its size.
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ChunkCache, bounded_batches, materialize, table
+from .common import bounded_batches, materialize, table
 from .components import components
 
 BUCKET_BITS = 16
@@ -38,17 +39,75 @@ CHUNK = 1024
 MU = 0.02
 
 
+class Words:
+    """Tables for hashing words: a number a byte (A-Z as a-z), none for white space, and powers of an odd number."""
+
+    BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    BYTES[65:91] = BYTES[97:123]
+    SPACE = np.zeros(256, bool)
+    SPACE[[32, *range(9, 14)]] = True
+    BYTES[SPACE] = 0
+    POWERS = np.ones(1, np.uint64)
+
+    @classmethod
+    def powers(cls, n: int) -> np.ndarray:
+        while len(cls.POWERS) < n:
+            last = cls.POWERS[-1:] * np.uint64(0x9E3779B97F4A7C15)
+            cls.POWERS = np.concatenate([cls.POWERS, cls.POWERS * last])
+        return cls.POWERS
+
+
+def word_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, its first byte's place) of texts laid end to end; no word reaches over a cut."""
+    space = Words.SPACE[data]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    at = cuts[cuts < len(data)]
+    begins[at] = ~space[at]
+    first = np.flatnonzero(begins)
+    if not len(first):
+        return np.zeros(0, np.uint64), first
+    spans = np.diff(first, append=len(data))
+    place = np.arange(first[0], len(data), dtype=np.int64) - np.repeat(first, spans)
+    value = Words.BYTES[data[first[0] :]] * Words.powers(int(spans.max()) + 1)[place]
+    h = np.add.reduceat(value, first - first[0])
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9), first
+
+
 class Shingles:
-    """Sorted distinct 64-bit hashes of the shingles of a text. Words: ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased."""
+    """Sorted distinct 64-bit hashes of the shingles of texts. Words: ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased."""
+
+    BLOCK = 1 << 20
 
     def __init__(self, k: int):
         self.k = k
-        self.cache = ChunkCache(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], 400_000)
 
-    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        parts = [t.encode().lower().split() if t else [] for t in texts]
-        for p in self.cache.look(parts):
-            h = np.fromiter(p, np.uint64, len(p))
+    def words(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Word hashes of each text, read from the Arrow buffers about a megabyte at a time."""
+        wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        _, offsets, data = texts.buffers()
+        cuts = np.frombuffer(offsets, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(data or b"", np.uint8)
+        i, n = 0, len(texts)
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + self.BLOCK, side="right")) - 1)
+            if cuts[j] - cuts[i] <= 2 * self.BLOCK:
+                h, first = word_hashes(data[cuts[i] : cuts[j]], cuts[i:j] - cuts[i])
+                ends = np.searchsorted(first, cuts[i : j + 1] - cuts[i])
+                yield from (h[a:b] for a, b in zip(ends, ends[1:]))
+            else:  # one very long text: in blocks that end at white space
+                parts, a = [], int(cuts[i])
+                while a < cuts[j]:
+                    b = min(a + self.BLOCK, int(cuts[j]))
+                    while b < cuts[j] and not Words.SPACE[data[b]]:
+                        b += 1
+                    parts.append(word_hashes(data[a:b], np.zeros(1, np.int64))[0])
+                    a = b
+                yield np.concatenate(parts)
+            i = j
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for h in self.words(texts):
             m = min(self.k, len(h))
             if not m:
                 yield h
@@ -60,6 +119,45 @@ class Shingles:
             yield np.unique(x ^ (x >> np.uint64(31)))
 
 
+def bitmap(x: np.ndarray) -> bytes:
+    """One bit a shingle in at least four times as many bits, a power of two; halves may be laid over each other."""
+    bits = max(64, 1 << (4 * len(x) - 1).bit_length())
+    out = np.zeros(bits, bool)
+    out[(x & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def folded(b: np.ndarray, size: int) -> np.ndarray:
+    while len(b) > size:
+        half = len(b) // 2
+        b = b[:half] | b[half:]
+    return b
+
+
+def may_link(sizes: np.ndarray, bits: list[np.ndarray], t: int) -> np.ndarray:
+    """Which sets of a block have a partner that their bitmaps don't rule out. A bit of one that the other lacks is a
+    shingle that they don't share, so nothing that links is ruled out."""
+    order = np.argsort(sizes, kind="stable")
+    hit = np.zeros(len(sizes), bool)
+    for size in {len(b) for b in bits}:
+        rows = [i for i in order if len(bits[i]) in (size, 2 * size)]
+        table = np.stack([folded(bits[i], size) for i in rows])
+        words = table.view(np.uint64)
+        n = sizes[rows]
+        for r, i in enumerate(rows):
+            lo = int(np.searchsorted(n, ceil_share(t, n[r])))
+            for c in range(lo, r, 4096):
+                d = min(r, c + 4096)
+                lacks = np.bitwise_count(words[r] & ~words[c:d]).sum(axis=1)
+                both = n[r] - lacks.astype(np.int64)
+                both = np.minimum(both, n[c:d] - np.bitwise_count(words[c:d] & ~words[r]).sum(axis=1).astype(np.int64))
+                ok = np.flatnonzero(100 * both >= t * (n[r] + n[c:d] - both))
+                if len(ok):
+                    hit[i] = True
+                    hit[np.asarray(rows)[c + ok]] = True
+    return hit
+
+
 def ceil_share(t: int, n):
     """ceil(t % of n)"""
     return -(-t * n // 100)
@@ -79,18 +177,18 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = Shingles(k), np.zeros(1 << BUCKET_BITS, np.int64)
         for b in batches:
-            sets = list(shingles(b.column(1).to_pylist()))
+            sets = list(shingles(b.column(1)))
             for x in sets:
                 total += np.bincount(bucket(x), minlength=len(total)) if len(x) > 5000 else 0
             small = [x for x in sets if len(x) <= 5000]
             if small:
                 total += np.bincount(bucket(np.concatenate(small)), minlength=len(total))
             nodes = [node_of(x) if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.binary())], ["doc_id", "n", "node", "counts"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array([bitmap(x) if len(x) else None for x in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], ["doc_id", "n", "node", "bits", "counts"])
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([total.tobytes()], pa.binary())], ["doc_id", "n", "node", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], ["doc_id", "n", "node", "bits", "counts"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, bits binary, counts binary")
 
 
 def _counts(sets: DataFrame) -> np.ndarray:
@@ -110,7 +208,7 @@ def _prefixes(docs: DataFrame, k: int, t: int, counts: np.ndarray) -> DataFrame:
         shingles = Shingles(k)
         for b in batches:
             out: list[list] = [[], [], []]
-            for x in shingles(b.column(1).to_pylist()):
+            for x in shingles(b.column(1)):
                 n = len(x)
                 if n:
                     first = x[np.lexsort((x, counts[bucket(x)]))[: n - ceil_share(t, n) + 1]]
@@ -127,7 +225,7 @@ def _wanted(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(k)
         for b in batches:
-            sets = list(shingles(b.column(1).to_pylist()))
+            sets = list(shingles(b.column(1)))
             yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "shingles"])
 
     return docs.mapInArrow(run, "node long, shingles binary")
@@ -237,6 +335,41 @@ def search_block(nodes: list[int], sets: list[np.ndarray], t: int, labels: list
     return out
 
 
+def _possible(rows: DataFrame, t: int) -> DataFrame:
+    """Members that their bitmaps leave with a possible partner in their chunk; all members of blocks of many chunks,
+    where partners may be in another one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        out: list[tuple] = []
+
+        def close() -> None:
+            if held and held[0]["chunks"] > 1:
+                out.extend((r["hub"], r["chunk"], r["chunks"], r["node"]) for r in held)
+            elif len(held) > 1:
+                keep = may_link(np.asarray([r["n"] for r in held]), [np.frombuffer(r["bits"], np.uint8) for r in held], t)
+                out.extend((r["hub"], r["chunk"], r["chunks"], r["node"]) for r, ok in zip(held, keep) if ok)
+
+        def flush() -> pa.RecordBatch:
+            cols = list(zip(*out)) or [()] * 4
+            out.clear()
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["hub", "chunk", "chunks", "node"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if key != (now := (r["hub"], r["chunk"])):
+                    close()
+                    key, held = now, []
+                held.append(r)
+            yield flush()
+        close()
+        yield flush()
+
+    spread = rows.select("hub", "chunk", "chunks", "node", "n", "bits").repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "node")
+    return spread.mapInArrow(run, "hub long, chunk int, chunks int, node long")
+
+
 def _blocks(rows: DataFrame, by: list[str], t: int) -> DataFrame:
     """rows: the columns ``by``, node, shingles, and perhaps root and side. Links of each block, read as a stream."""
     cols = [*by, "node", "shingles", *[c for c in ("root", "side") if c in rows.columns]]
@@ -273,7 +406,7 @@ def connect(docs: DataFrame, k: int = 5, t: int = 80) -> tuple[DataFrame, DataFr
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     every = materialize(_sets(docs, k))
-    sets = every.where("counts IS NULL").drop("counts")
+    sets = every.where("counts IS NULL").drop("counts", "bits")
     entries = materialize(_prefixes(docs.where("doc_id IS NOT NULL"), k, t, _counts(every)))
     lists = entries.groupBy("s").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("s")
     entries = entries.join(lists, "s")
@@ -282,12 +415,15 @@ def connect(docs: DataFrame, k: int = 5, t: int = 80) -> tuple[DataFrame, DataFr
     hubs = entries.groupBy("s", "band").agg(F.min("node").alias("hub"), F.max("node").alias("b")).where("hub <> b").drop("b")
     member = materialize(entries.join(hubs, ["s", "band"]).select("hub", "node").distinct())
 
+    parts = member.groupBy("hub").count().select("hub", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
+    member = member.join(parts, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    bits = every.where("bits IS NOT NULL").select("node", "n", "bits").join(member.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    member = materialize(_possible(member.join(bits, "node"), t))
+
     ids = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     ids = ids.join(member.select("node").distinct(), "node", "left_semi").select("doc_id").distinct()
     wanted = _wanted(docs.join(ids, "doc_id", "left_semi"), k)
     wanted = materialize(wanted.join(member.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
-    parts = member.groupBy("hub").count().select("hub", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    member = member.join(parts, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     links = materialize(_blocks(member.join(wanted, "node"), ["hub", "chunk"], t))
     roots = components(links)
 
