@@ -24,6 +24,7 @@ from .common import materialize, table
 
 MIN_CHARS = 20
 PART = 512
+BITS = 1 << 23
 DOC = ["__n", "__d", "__t"]
 HASH = ["__h1", "__h2"]
 
@@ -49,14 +50,24 @@ def _earliest() -> F.Column:
     return F.min(F.struct(*DOC, "__p"))
 
 
+def _perhaps(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose document may be in ``wanted``: a bitmap of ``BITS`` bits, so of fixed size, tells most others apart
+    before texts are shuffled. It only ever lets too many through."""
+    h = F.pmod(F.xxhash64(*DOC), F.lit(BITS))
+    words = wanted.select(h.alias("h")).groupBy(F.floor(F.col("h") / 32768).alias("__w")).agg(F.expr("bitmap_construct_agg(CAST(h % 32768 AS INT))").alias("__b"))
+    texts = texts.withColumn("__h", h).withColumn("__w", F.floor(F.col("__h") / 32768))
+    bit = F.expr("shiftright(CAST(conv(hex(substring(__b, CAST((__h % 32768) div 8 + 1 AS INT), 1)), 16, 10) AS INT), CAST(__h % 8 AS INT)) & 1")
+    return texts.join(F.broadcast(words), "__w").where(bit == 1).drop("__h", "__w", "__b")
+
+
 def near_lines(texts: DataFrame, occ: DataFrame, lines: DataFrame) -> DataFrame:
     """Hashes of the lines that have an earlier line at distance one."""
-    keyed = occ.select(*HASH, F.explode("__keys").alias("__k"))
+    keyed = occ.select("__h1", F.explode("__keys").alias("__k"))
     shared = keyed.groupBy("__k").agg(F.min("__h1").alias("a"), F.max("__h1").alias("b")).where("a <> b").select("__k")
-    found = keyed.join(shared, "__k").groupBy(*HASH).agg(F.collect_set("__k").alias("__ks"))
-    found = found.join(lines.drop("__count"), HASH).select(*HASH, "__ks", "__first", *[F.col(f"__first.{c}").alias(c) for c in (*DOC, "__p")])
-    per_doc = found.groupBy(*DOC).agg(F.collect_list(F.struct(*HASH, "__ks", "__first", "__p")).alias("__c"))
-    held = texts.select(*DOC, "text")
+    found = keyed.join(shared, "__k").groupBy("__h1").agg(F.collect_set("__k").alias("__ks"))
+    found = found.join(lines.drop("__count"), "__h1").select(*HASH, "__ks", "__first", *[F.col(f"__first.{c}").alias(c) for c in (*DOC, "__p")])
+    per_doc = materialize(found.groupBy(*DOC).agg(F.collect_list(F.struct(*HASH, "__ks", "__first", "__p")).alias("__c")))
+    held = _perhaps(texts.select(*DOC, "text"), per_doc)
     lined = held.join(per_doc, DOC).select(F.split("text", "\n").alias("__l"), F.explode("__c").alias("__c"))
     lined = lined.select("__c.*", F.col("__l")[F.col("__c.__p")].alias("__line")).dropDuplicates(HASH)
     lined = materialize(lined.withColumn("__m", F.length("__line")))
@@ -68,13 +79,13 @@ def near_lines(texts: DataFrame, occ: DataFrame, lines: DataFrame) -> DataFrame:
     same = f"transform(sequence(1, length(w)), i -> named_struct('v', xxhash64('same', k, i, {without}), 'kind', 0))"
     longer = f"transform(sequence(1, length(w)), i -> named_struct('v', xxhash64('more', k, {without}), 'kind', 2))"
     variants = F.expr(f"CASE WHEN short THEN concat({same}, array(named_struct('v', xxhash64('more', k, w), 'kind', 1))) ELSE {longer} END")
-    rows = materialize(part.where("length(w) > 0").select(*HASH, "__first", F.explode(variants).alias("x")).select(*HASH, "__first", "x.v", "x.kind"))
+    rows = materialize(part.where("length(w) > 0").select("__first", F.explode(variants).alias("x")).select("__first", "x.v", "x.kind"))
     # of equal variants: kind 0 meets kind 0; 1 and 2 meet each other
     best = rows.groupBy("v").agg(F.min(F.when(F.col("kind") != 2, F.col("__first"))).alias("a"), F.min(F.when(F.col("kind") == 2, F.col("__first"))).alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
     other = F.when(F.col("kind") == 1, F.col("b")).otherwise(F.col("a"))
-    pairs = rows.join(best, "v").select(*HASH, "__first", other.alias("__other")).where("__other < __first").distinct()
+    pairs = rows.join(best, "v").select("__first", other.alias("__other")).where("__other < __first").distinct()
     there = lined.select(F.col("__first").alias("__other"), F.col("__line").alias("__earlier"))
-    checked = pairs.join(lined.select(*HASH, "__line"), HASH).join(there, "__other")
+    checked = pairs.join(lined.select(*HASH, "__first", "__line"), "__first").join(there, "__other")
     return checked.where(F.levenshtein("__line", "__earlier", 1) >= 0).select(*HASH).distinct()
 
 
