@@ -139,4 +139,4 @@ def like_escape(c: Column) -> Column:
 def mask_names(headline: Column, names: Column) -> Column:
     """Each name replaced by 'professional', longest first, whole words only."""
     ordered = F.array_sort(names, lambda a, b: F.length(b) - F.length(a))
-    return F.aggregate(ordered, F.concat(F.lit(" "), headline, F.lit(" ")), lambda acc, n: F.replace(acc, F.concat(F.lit(" "), n, F.lit(" ")), F.lit(" professional ")), F.trim)
+    return F.aggregate(ordered, F.concat(F.lit(" "), headline, F.lit(" ")), lambda acc, n: F.replace(acc, F.concat(F.lit(" "), n, F.lit(" ")), F.lit(" professional ")), lambda x: F.trim(x))
