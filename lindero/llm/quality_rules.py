@@ -27,11 +27,11 @@ STOP_WORDS = (
 ).split()
 #: measure -> expression over the columns n_words, word_chars, n_symbols, n_stop, n_bangs, n_lines, n_dup_lines.
 MEASURES = {
-    "mean_word_chars": "word_chars / n_words",
-    "symbols_a_word": "n_symbols / n_words",
-    "bangs_a_word": "n_bangs / n_words",
-    "stop_word_ratio": "n_stop / n_words",
-    "dup_line_ratio": "n_dup_lines / n_lines",
+    "mean_word_chars": "word_chars / nullif(n_words, 0)",
+    "symbols_a_word": "n_symbols / nullif(n_words, 0)",
+    "bangs_a_word": "n_bangs / nullif(n_words, 0)",
+    "stop_word_ratio": "n_stop / nullif(n_words, 0)",
+    "dup_line_ratio": "n_dup_lines / nullif(n_lines, 0)",
 }
 #: (measure, least, greatest, from how many words on). Set on labelled documents: see the README.
 RULES = (

@@ -1,0 +1,322 @@
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from lindero.llm import cotraining, graph_search, line_dedup, ngram_join, packing, quality_rules, registry, secret_scan, sentencepiece_codec, token_files, url_filters
+from lindero.llm.common import cut, shared_dir
+
+from ..conftest import DATA
+from ..oracle import same_as_sql
+
+LONG = "the end of a very long text, " * 3000
+TEXTS = [None, "", " ", "a", "one two three four five six", "one two three four five six", "One  two\n\nthree \t x.", "end.\nNext, it's 12 ... <|endoftext|> <s> ▁ é ﬁ Σ İ, x\x00", LONG, "password=abcd1234efgh and " + "0123456789abcdef" * 3]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, node string, shard int, sequence_id int, _t int, spans string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, None if i % 2 else "en", "s", None if t is None else len(t), "x", 1, 2, 3, "y") for i, t in enumerate(TEXTS)]
+    rows += [(4, TEXTS[4], "en", "s", 1, "x", 1, 2, 3, "y"), (None, "no id at all here", None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def sha(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def crc(ids):
+    return zlib.crc32(np.asarray(ids, "<u4").tobytes())
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracles()))
+def test_query_equals_sql(spark, name):
+    same_as_sql(registry.QUERIES[name](spark, DATA), registry.oracles()[name], DATA)
+
+
+def test_empty_tables(spark, docs):
+    none = docs.limit(0)
+    assert sentencepiece_codec.encode(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+    assert packing.pack_documents(none).count() == 0
+    assert token_files.read_back(spark, token_files.write(none, shared_dir(spark), public_tokenizers.path("word_bpe_49k.json"))).count() == 0
+    assert quality_rules.judge(none).count() == 0 and secret_scan.scan(none).count() == 0 and ngram_join.near_duplicates(none).count() == 0
+    assert line_dedup.dedup(none).count() == 0
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert cotraining.train(none, labels) is None and cotraining.score(none, None).count() == 0
+    assert cotraining.score(docs, None).where("kept").count() == docs.count()
+    assert graph_search.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    assert url_filters.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_cut_is_whole():
+    for t in [x for x in TEXTS if x]:
+        assert cut(t) is None or "".join(cut(t)) == t
+
+
+def brute_spans(text):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32])
+
+
+def test_secrets(spark, docs):
+    table = docs.select("doc_id", "text").union(spark.read.parquet(f"{DATA}/documents.parquet").select(F.col("doc_id") + 1000, "text"))
+    texts = {r.doc_id: r.text or "" for r in table.collect()}
+    for r in secret_scan.scan(table).collect():
+        want = brute_spans(texts[r.doc_id])
+        joined = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert r.base_sha256 == sha(joined) and (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in want) for k in range(3))
+        assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+    net = secret_scan.train()
+    found = secret_scan.labelled_findings(400, seed=123)
+    p, y = net.score([secret_scan.windows(t, a, b)[0] for t, a, b, _ in found]), np.array([f[3] for f in found])
+    assert (p[y == 1] >= net.threshold).mean() > 0.95 and (p[y == 0] >= net.threshold).mean() < 0.03
+    clean = secret_scan.redact(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    assert clean.where("text LIKE '%abcd1234efgh%'").count() == 0 and clean.where("text IS NULL").count() == 1
+
+
+def test_sentencepiece(spark, docs):
+    code = sentencepiece_codec.codec(public_tokenizers.path("piece_bpe_32k.model"))
+    table = docs.select("doc_id", "text").union(spark.read.parquet(f"{DATA}/documents.parquet").select(F.col("doc_id") + 1000, "text"))
+    texts = {r.doc_id: r.text or "" for r in table.collect()}
+    for r in sentencepiece_codec.encode(table, public_tokenizers.path("piece_bpe_32k.model")).collect():
+        ids = code.lib.encode(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(code.lib.decode(ids)))
+
+
+def test_token_files(spark, docs):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lib = Tokenizer.from_file(path)
+    got = sorted(token_files.read_back(spark, token_files.write(docs, shared_dir(spark), path)).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((r.doc_id for r in docs.collect()), key=lambda i: (i is not None, i))
+    texts, start = {r.doc_id: r.text or "" for r in docs.collect()}, 0
+    for r in got:
+        ids = [*lib.encode(texts[r.doc_id], add_special_tokens=False).ids, 1]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), crc(ids))
+        start += len(ids)
+
+
+def test_elias_fano():
+    rng = np.random.default_rng(0)
+    for n, top in ((0, 1), (1, 0), (1, 5), (3000, 10**6), (5000, 100), (2000, 10**15)):
+        v = np.sort(rng.integers(0, top + 1, n))
+        e = token_files.EliasFano.from_bytes(token_files.EliasFano.of(v).to_bytes())
+        assert (e.all() == v).all() and all(e.select(i) == v[i] for i in range(0, n, 11))
+        assert n < 100 or len(e.to_bytes()) * 8 < n * (3 + max(1, top // n).bit_length()) + 600
+
+
+def test_packing(spark, docs):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)
+    for table in (docs, spark.read.parquet(f"{DATA}/documents.parquet")):
+        rows = packing.pack_documents(table).collect()
+        texts = {r.doc_id: r.text or "" for r in table.collect()}
+        by_doc, by_seq = defaultdict(set), defaultdict(list)
+        for r in rows:
+            by_doc[r.doc_id].add((r.start, r.length, r.ids_crc32, r.doc_tokens))
+            by_seq[r.sequence_id].append((r.offset, r.length))
+        for d, pieces in by_doc.items():
+            ids, at = [*lib.encode(texts[d], add_special_tokens=False).ids, 0], 0
+            for start, length, c, n in sorted(pieces):
+                assert start == at and n == len(ids) and c == crc(ids[start : start + length])
+                at += length
+            assert at == len(ids)
+        for held in by_seq.values():
+            at = 0
+            for offset, length in sorted(held):
+                assert offset == at
+                at += length
+            assert at <= 1024
+        assert sorted(by_seq) == list(range(len(by_seq)))
+    assert sum(r.length for r in rows) / 1024 / len(by_seq) > 0.99
+
+
+def test_column_generation_meets_demands():
+    rng = np.random.default_rng(1)
+    sizes = sorted(rng.choice(np.arange(1, 60), 20, replace=False).tolist())
+    demand = rng.integers(1, 50, 20).tolist()
+    plan = packing.solve(sizes, demand, 100)
+    assert all(sum(s * k for s, k in p.items()) <= 100 for p, _ in plan)
+    got = Counter()
+    for p, n in plan:
+        for s, k in p.items():
+            got[s] += n * k
+    assert got == Counter(dict(zip(sizes, demand)))
+    assert sum(n for _, n in plan) <= np.ceil(np.dot(sizes, demand) / 100) * 1.05 + 1
+
+
+def brute_rules(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    at = defaultdict(list)
+    for i in range(len(w) - 7):
+        at[tuple(w[i : i + 8])].append(i)
+    covered = {j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + 8)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_rules(spark, docs):
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in quality_rules.judge(docs).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_rules(texts[r.doc_id])
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and not (r.base_failed and r.kept)
+
+
+def test_classifier(spark, docs):
+    table, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    views = cotraining.train(table, labels, labelled=60, pool=60)
+    known = {r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(60).collect()}
+    told = {r.doc_id: r.quality for r in labels.collect()}
+    held = [r for r in cotraining.score(table, views).collect() if r.doc_id in told and r.doc_id not in known]
+    assert len(held) > 10 and np.mean([r.kept == (told[r.doc_id] == 1) for r in held]) > 0.85
+    assert cotraining.score(docs, views).count() == docs.count()
+    kept = cotraining.keep(docs, views)
+    assert kept.columns == docs.columns and kept.count() == cotraining.score(docs, views).where("kept").count()
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(5)
+    vec = rng.normal(size=(1200, 16)).astype(np.float32)
+    vec[100:400] = vec[100]
+    rows = [(i, [float(x) for x in v], "a") for i, v in enumerate(vec)]
+    odd = [(50000, None, "b"), (50050, [0.0] * 16, "b"), (50100, [float("nan")] * 16, "b"), (50150, [1.0, None], "b"), (None, [1.0] * 16, "b"), (0, rows[0][1], "again")]
+    table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, shard string")
+    got = defaultdict(list)
+    for r in graph_search.search(table, shard_rows=300).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    u = vec.astype(float) / np.linalg.norm(vec.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 1200, 50):
+        c = u @ u[q]
+        order = sorted((i for i in range(1200) if i != q), key=lambda i: (-round(c[i], 12), i))[:5]
+        assert len(got[q]) == 5 and all(abs(s - c[i]) < 1e-12 for i, s in got[q])
+        hit += len({i for i, _ in got[q]} & set(order))
+    assert set(got) == set(range(0, 1200, 50)) and hit / (5 * len(got)) >= 0.9
+    assert [i for i, _ in got[150]] == [100, 101, 102, 103, 104]
+
+
+def test_urls(spark):
+    urls = [None, "", "no scheme", "http://COM/x", "https://a.Example.com/en/x?q", "http://www.example.com/en/", "http://x.net", "http://x.net/es/1#f", "http://café.org/ü", "http://h" + "x" * 5000]
+    table = spark.createDataFrame([(i, u, "z") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    got = {r.page_id: r for r in url_filters.judge(table).collect()}
+    assert [(got[i].host, got[i].path, got[i].rule) for i in range(8)] == [("", "", None)] * 3 + [("com", "/x", "com/"), ("a.example.com", "/en/x", "example.com/en/"), ("www.example.com", "/en/", "www.example.com/en/"), ("x.net", "", None), ("x.net", "/es/1", "net/es/")]
+    assert got[4].verdict == "block" and got[5].verdict == "allow" and got[0].verdict == "allow"
+    held = [("cheap-pills.example.org", "/de/1", "block"), ("www.casino-win.example.org", "/de/2", "block"), ("city-museum.example.org", "/de/1", "allow")]
+    table = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(held)], "page_id long, url string")
+    assert [r.verdict for r in url_filters.judge(table).orderBy("page_id").collect()] == [v for _, _, v in held]
+
+
+def brute_links(rows, k, t):
+    sets = {}
+    for d, x in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} - {()}
+    up = {d: d for d in sets}
+
+    def find(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if b < a and both and 100 * both >= t * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                up[max(x, y)] = min(x, y)
+    return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+@pytest.mark.parametrize("chunk", [1024, 8])
+def test_ngram_join(spark, docs, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    rng = np.random.default_rng(2)
+    base = [[f"w{rng.integers(200)}" for _ in range(50)] for _ in range(4)]
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id IS NOT NULL").distinct().collect()]
+    for i in range(120):
+        w = list(base[rng.integers(4)])
+        for _ in range(rng.integers(5)):
+            w[rng.integers(50)] = f"z{rng.integers(40)}"
+        rows.append((100 + i, " ".join(w)))
+    table = spark.createDataFrame([*rows, (None, rows[-1][1])], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table, 4, 85).collect()}
+    assert got.pop(None)[1] is None
+    assert got == brute_links(rows, 4, 85)
+
+
+def test_divide_skip():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        postings = {i: sorted(set(rng.integers(0, 30, rng.integers(1, 30)).tolist())) for i in range(12)}
+        need = int(rng.integers(1, 13))
+        count = Counter(x for p in postings.values() for x in p)
+        assert sorted(ngram_join.t_occurrence(list(postings), postings, need)) == sorted(x for x, n in count.items() if n >= need)
+
+
+def edit_one(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return len(b) - len(a) < 2 and a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+
+def test_line_dedup(spark, docs):
+    rng = np.random.default_rng(4)
+    base = ["".join(rng.choice(list("ab "), rng.integers(18, 40))) for _ in range(8)] + ["x" * 1500, "".join(rng.choice(list("ab"), 2500))]
+    rows = []
+    for i in range(60):
+        lines = []
+        for _ in range(rng.integers(1, 5)):
+            s = base[rng.integers(len(base))]
+            for _ in range(rng.integers(3)):
+                j = rng.integers(len(s))
+                s = s[:j] + ("", "c", s[j] + "c")[rng.integers(3)] + s[j + 1 :]
+            lines.append(s)
+        rows.append((i, "\n".join(lines)))
+    seen, want = [], {}
+    for d, t in rows:
+        keep = []
+        for line in t.split("\n"):
+            if len(line) < line_dedup.MIN_CHARS or not any(s == line or edit_one(s, line) for s in seen):
+                keep.append(line)
+            if len(line) >= line_dedup.MIN_CHARS:
+                seen.append(line)
+        want[d] = "\n".join(keep)
+    assert {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+    out = line_dedup.dedup(docs)
+    assert out.count() == docs.count() and out.where("text IS NULL").count() == 1 and out.columns[: len(docs.columns)] == docs.columns
+
+
+def test_pipeline(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    table, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    columns, held = table.columns, table
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs.select(columns).unionByName(table.select(F.col("doc_id") + 1000, *columns[1:]).toDF(*columns)).write.parquet(str(tmp_path / "documents.parquet"))
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = held
+        held = stage(spark, held, DATA)
+        if i < len(corpus_pipeline.STAGES) - 1:
+            held.write.parquet(str(tmp_path / name))
+            held = spark.read.parquet(str(tmp_path / name))
+            assert held.columns == columns and held.dtypes == table.dtypes
+        if name == "ngram_jaccard_join":
+            rows = [(r.doc_id, r.text) for r in before.collect()]
+            firsts = {d for d, (_, c) in brute_links(rows, 5, 80).items() if c == d}
+            assert {r.doc_id for r in held.collect()} == firsts
+        if name == "secret_scan":
+            assert held.count() == before.count() and all(not brute_spans(r.text) for r in held.collect())
+        if name == "packing":
+            assert held.select("doc_id").distinct().count() == before.count()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
