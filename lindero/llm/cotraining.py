@@ -116,7 +116,7 @@ STATS_SCALE = np.asarray([1, 2, 2, 1, 2, 2, 2, 1, 1, 2], float)
 def dense(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     t, m = np.zeros((len(rows), BUCKETS + N_STATS), np.float32), np.zeros((len(rows), N_META), np.float32)
     for i, r in enumerate(rows):
-        np.add.at(t[i], np.asarray(r["at"], np.int64), np.asarray(r["value"], np.float32))
+        t[i, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["value"], "<f4")
         t[i, BUCKETS:] = np.asarray(r["stats"]) * STATS_SCALE
         np.add.at(m[i], r["meta"], 1)
     return t, m
@@ -182,10 +182,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
                 at, value, stats = text_features(r["text"], buckets)
                 bins = np.bincount(at, value, BUCKETS)
                 at = np.flatnonzero(bins)
-                out.append({"doc_hash": zlib.crc32(f"{r['doc_id']} {r['text']}".encode()), "label": r["label"], "at": at.tolist(), "value": bins[at].tolist(), "stats": stats, "meta": meta_features(r["lang"], r["source"], r["n_chars"])})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_hash", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float32())), ("stats", pa.list_(pa.float64())), ("meta", pa.list_(pa.int32()))]))
+                out.append({"doc_hash": zlib.crc32(f"{r['doc_id']} {r['text']}".encode()), "label": r["label"], "at": at.astype("<i4").tobytes(), "value": bins[at].astype("<f4").tobytes(), "stats": stats, "meta": meta_features(r["lang"], r["source"], r["n_chars"])})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_hash", pa.int64()), ("label", pa.int32()), ("at", pa.binary()), ("value", pa.binary()), ("stats", pa.list_(pa.float64())), ("meta", pa.list_(pa.int32()))]))
 
-    rows = _inputs(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_hash long, label int, at array<int>, value array<float>, stats array<double>, meta array<int>")
+    rows = _inputs(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_hash long, label int, at binary, value binary, stats array<double>, meta array<int>")
     return co_train([r.asDict() for r in rows.limit(2 * (labelled + pool)).collect()])
 
 
