@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, table
+from .common import TOKEN_ROWS, bounded_batches, materialize, table
 from .token_ids import byte_level
 
 CAPACITY = 1024
@@ -33,7 +33,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, TOKEN_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, end, step = byte_level(tokenizer), np.asarray([end_id], "<u4").tobytes(), 4 * capacity

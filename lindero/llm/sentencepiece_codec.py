@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ChunkCache, bounded_batches, cut, table
+from .common import TOKEN_ROWS, ChunkCache, bounded_batches, chunks_of, marked, table
 
 MARK = "▁"
 _LETTER = regex.compile(r"[\p{L}\p{Nd}\p{M}]")
@@ -53,7 +53,7 @@ class Codec:
             raise ValueError("pieces continue over spaces, or the vocabulary has no byte fallback")
         self.finer = not {(1, 2), (2, 1)} & meets and not any("\n" in p for p in ids)
         self.units = regex.compile(rf"{MARK}*[\p{{L}}\p{{Nd}}\p{{M}}]+|{MARK}*[^\p{{L}}\p{{Nd}}\p{{M}}{MARK}]+|{MARK}+").findall
-        self.cache = ChunkCache(self._fill, 400_000)
+        self.cache = ChunkCache(self._fill, 250_000)
 
     def agenda(self, symbols: str) -> list[int]:
         """Ids of one run of characters, in which spaces are marks already."""
@@ -97,16 +97,17 @@ class Codec:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
+    def _marked(self, text: str) -> str | None:
+        return marked(" " + text) if self.finer and text[:1] not in " .," and MARK not in text else None
+
     def _parts(self, text: str) -> list[str]:
         """Chunks, in which spaces are marks, that no piece reaches beyond."""
         if not text:
             return []
-        if (p := cut(" " + text) if self.finer and text[0] not in " .," else None) is not None and MARK not in text:
-            return p[1:]
         return [x for c in _CHUNK.findall(MARK + text.replace(" ", MARK)) for x in (self.units(c) if self.finer else [c])]
 
-    def _fill(self, chunks: list[str]) -> list[tuple[str, str]]:
-        """(ids in decimal, text) of each; the library must give the same ids. It sets a mark before a text, so a
+    def _fill(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids in decimal, a comma after each; text) of each chunk; the library must give the same ids. It sets a mark before a text, so a
         chunk without one is shown to it after a line end, which no piece contains."""
         marked = [MARK + c[1:] if c[:1] == " " else c for c in chunks]
         own = [self.agenda(c) for c in marked]
@@ -114,13 +115,17 @@ class Codec:
         for c, a, b in zip(marked, own, lib):
             if a != (b if c[:1] == MARK else b[2:]) and c != MARK and c:
                 raise AssertionError(f"differs from the library: {c!r}")
-        return [(",".join(map(str, a)), self.decode(a)) for a in own]
+        return [("".join([f"{i}," for i in a]).encode(), self.decode(a).encode()) for a in own]
 
-    def __call__(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+    def __call__(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Per text: its ids in decimal, joined by commas; what they decode to."""
-        for found in self.cache.look([self._parts(t) for t in texts]):
-            ids, back = zip(*found) if found else ((), ())
-            yield ",".join([i for i in ids if i]), "".join(back)[1:]
+        cuts = [self._marked(t) for t in texts]
+        found = zip(*self.cache.joined(chunks_of([c for c in cuts if c is not None]), 2))
+        lists = pa.array([self._parts(t) for t, c in zip(texts, cuts) if c is None], pa.list_(pa.string()))
+        other = zip(*self.cache.joined(lists, 2))
+        for c in cuts:
+            ids, text = next(other if c is None else found)
+            yield ids[:-1], text[1:]
 
 
 @lru_cache(maxsize=2)
@@ -130,19 +135,19 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, model: str, ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and digests per document; with ``ids`` also the ids and the decoded text."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, TOKEN_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(model)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             for joined, text in code(b.column(1).to_pylist()):
-                out[0].append(joined.count(",") + 1 if joined else 0)
-                out[1].append(hashlib.sha256(joined.encode()).hexdigest())
-                out[2].append(hashlib.sha256(text.encode()).hexdigest())
+                out[0].append(joined.count(b",") + 1 if joined else 0)
+                out[1].append(hashlib.sha256(joined).hexdigest())
+                out[2].append(hashlib.sha256(text).hexdigest())
                 if ids:
-                    out[3].append([int(i) for i in joined.split(",")] if joined else [])
-                    out[4].append(text)
+                    out[3].append([int(i) for i in joined.split(b",")] if joined else [])
+                    out[4].append(text.decode())
             cols = [b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shared_dir, table
+from .common import TOKEN_ROWS, bounded_batches, shared_dir, table
 from .token_ids import word_level
 
 MAGIC = b"LNDIDS01"
@@ -92,7 +92,7 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> list[tuple[int, str, int, int]]:
     """Writes the shards; returns (shard, path, documents, ids) of each in order, a row a partition."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, TOKEN_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, shard = word_level(tokenizer), TaskContext.get().partitionId()

@@ -6,6 +6,7 @@ in a bounded cache. Texts that can't be cut so are given to the library whole (b
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
@@ -13,7 +14,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 
-from .common import ChunkCache, cut
+from .common import ChunkCache, chunks_of, marked
 
 #: How byte-level vocabularies split a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -26,6 +27,13 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def _flat(ids: list[list[int]]) -> list[bytes]:
+    """Each list as little-endian unsigned 32-bit integers."""
+    ends = list(accumulate(4 * len(x) for x in ids))
+    flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4 if ends else 0).tobytes()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class ByteLevelIds:
     """Ids where a space belongs to the word after it. New chunks are merged by ``tiktoken`` with the ranks of the
     ``tokenizers`` file itself, four times as fast; chunks with a special token's string go to ``tokenizers``."""
@@ -48,15 +56,13 @@ class ByteLevelIds:
     def _fill(self, chunks: list[str]) -> list[bytes]:
         whole, one = self.core.encode_ordinary, self.core.encode_single_piece
         ids = [one(c.encode()) if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else whole(c) for c in chunks]
-        ends = list(accumulate(4 * len(x) for x in ids))
-        flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4 if ends else 0).tobytes()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+        return _flat(ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
-        parts = [None if any(s in t for s in self.special) else cut(t) for t in texts]
-        found = self.cache.look([p or () for p in parts])
-        return [self._whole(t) if p is None else b"".join(f) for t, p, f in zip(texts, parts, found)]
+        parts = [None if any(s in t for s in self.special) else marked(t) for t in texts]
+        found = iter(self.cache.joined(chunks_of([p for p in parts if p is not None]))[0])
+        return [self._whole(t) if p is None else next(found) for t, p in zip(texts, parts)]
 
 
 #: Chunks of these letters alone are the same under NFC, and Python lower-cases them as the library does.
@@ -72,9 +78,19 @@ def _first_256(text: str) -> bool:
     return True
 
 
+#: Bytes of lower-case letters, a code for each of them, and the code of each at the end of a word.
+_LETTERS = sorted({b for c in map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]) for b in c.encode()})
+_CODES = bytes(_LETTERS.index(b) if b in _LETTERS else 127 for b in range(256))
+_LAST = [bytes([128 | c]) for c in range(128)]
+
+
 class WordLevelIds:
-    """Ids where white space is dropped and words have ends. A new chunk is cut into words; new words go to
-    ``tokenizers`` many at a time, and the ids that end words tell them apart again."""
+    """Ids where white space is dropped and words have ends. A new chunk is cut into words; words of letters alone are
+    merged by ``tiktoken``, others go to ``tokenizers`` many at a time, and the ids that end words tell them apart again.
+
+    ``tiktoken`` merges bytes, but here the last byte of a word is a symbol apart from the same byte within it. Letters
+    need few of the 256 bytes, so each has one code within a word and one, 128 higher, at its end. Where ids rise in
+    the order of merges, the result is the same; else all words go to ``tokenizers``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,11 +99,35 @@ class WordLevelIds:
         self.lib = Tokenizer.from_file(path)
         self.ends = np.zeros(self.lib.get_vocab_size(), bool)
         self.ends[[i for t, i in self.lib.get_vocab().items() if t.endswith("</w>")]] = True
-        self.cache, self.words = ChunkCache(self._chunks), ChunkCache(self._words, 400_000)
+        self.cache, self.words = ChunkCache(self._chunks), ChunkCache(self._words, 200_000)
+        self.core = self._core()
+
+    def _core(self):
+        import tiktoken
+
+        vocab = self.lib.get_vocab()
+        merges = [m.split(" ") if isinstance(m, str) else m for m in json.loads(self.lib.to_str())["model"]["merges"]]
+        made = [vocab[a + b] for a, b in merges]
+        if any(a >= b for a, b in zip(made, made[1:])):
+            return None
+        letters, ranks = _bytes_of_letters(), {}
+        for t, i in vocab.items():
+            body = t.removesuffix("</w>")
+            if body and all(letters.get(c) in _LETTERS for c in body):
+                piece = bytes(letters[c] for c in body).translate(_CODES)
+                ranks[piece if body == t else piece[:-1] + _LAST[piece[-1]]] = i
+        return tiktoken.Encoding("words", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})._core_bpe
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of lower-case letters alone."""
+        if self.core is None:
+            return self._words(words)
+        one, codes, last = self.core.encode_single_piece, _CODES, _LAST
+        return _flat([one(b[:-1] + last[b[-1]]) for b in (w.encode().translate(codes) for w in words)])
+
     def _words(self, words: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for i in range(0, len(words), 1000):
@@ -103,7 +143,7 @@ class WordLevelIds:
         latin, words = _LATIN.fullmatch, _WORDS.findall
         bare = [c[1:] if c[:1] == " " else c for c in chunks]
         plain = [c for c in bare if c.isalpha() and c.islower() and latin(c)]
-        out = dict(zip(plain, self._words(plain)))
+        out = dict(zip(plain, self._letters(plain)))
         rest = list({c for c in bare if c not in out})
         parts = [words(c.lower()) if latin(c) and "<|" not in c else None for c in rest]
         forms = self.words.look([p or () for p in parts])
@@ -113,11 +153,10 @@ class WordLevelIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
-        parts = []
-        for t in texts:
-            p = cut(t.lower()) if t.isascii() or _first_256(t) else None
-            parts.append(t.split(" ") if p is None else p)
-        return [b"".join(f) for f in self.cache.look(parts)]
+        parts = [marked(t.lower()) if t.isascii() or _first_256(t) else None for t in texts]
+        found = iter(self.cache.joined(chunks_of([p for p in parts if p is not None]))[0])
+        other = iter(self.cache.joined(chunks_of([t for t, p in zip(texts, parts) if p is None], " "))[0])
+        return [next(other if p is None else found) for p in parts]
 
 
 @lru_cache(maxsize=4)
