@@ -1,7 +1,7 @@
 """Line dedup within edit distance one, by a deletion-neighbourhood join in DataFrame operations only.
 
-A line occurrence of ``MIN_CHARS`` or more characters goes if any earlier line, in another document or its own, is at
-edit distance 0 or 1. Earlier means: smaller doc_id (null first), then hash of the text, then position.
+An occurrence of a line that isn't blank goes if any earlier such line, in another document or its own, is at edit
+distance 0 or 1. Earlier means: smaller doc_id (null first), then hash of the text, then position.
 
 Two lines at distance one agree outside one of two halves (of more, shorter parts in lines over 1,024 characters).
 So each line has a key for each part left out, for its own length and one less. Only where different lines share a key
@@ -10,7 +10,7 @@ distance one share the variant with the same character left out; a longer one ha
 part. Every line is joined with the earliest line that shares a variant, never with all of them, the edit distance of
 each joined pair is verified, and the earliest line stays. Nothing but removed positions meets the texts again.
 
-Defined cases: a null text stays null, an empty text is one short line and stays. Rows with equal doc_id and text are
+Defined cases: a null text stays null, blank lines (white space alone) take no part and stay. Rows with equal doc_id and text are
 one document, so they lose the same lines. An empty table gives an empty table. Extra columns stay, whatever their
 names (working names start with ``__``).
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, table
 
-MIN_CHARS = 20
+MIN_CHARS = 1
 PART = 512
 BITS = 1 << 23
 DOC = ["__n", "__d", "__t"]
@@ -92,7 +92,7 @@ def near_lines(texts: DataFrame, occ: DataFrame, lines: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The same rows and columns, texts without the removed lines; ``__lines`` and ``__removed`` count them."""
     texts = _identified(docs)
-    lined = texts.select(*DOC, F.posexplode(F.split("text", "\n")).alias("__p", "__line")).withColumn("__m", F.length("__line")).where(F.col("__m") >= min_chars)
+    lined = texts.select(*DOC, F.posexplode(F.split("text", "\n")).alias("__p", "__line")).withColumn("__m", F.length("__line")).where((F.col("__m") >= min_chars) & F.col("__line").rlike(r"\S"))
     occ = materialize(lined.select(*DOC, "__p", F.xxhash64("__line").alias("__h1"), F.xxhash64(F.lit(7), "__line").alias("__h2"), F.expr(_HASHES).alias("__keys")))
     lines = occ.groupBy(*HASH).agg(_earliest().alias("__first"), F.count(F.lit(1)).alias("__count"))
     near = near_lines(texts, occ, lines).withColumn("__near", F.lit(True))

@@ -297,6 +297,23 @@ def test_line_dedup(spark, docs):
     assert out.count() == docs.count() and out.where("text IS NULL").count() == 1 and out.columns[: len(docs.columns)] == docs.columns
 
 
+def test_line_dedup_short_lines(spark):
+    rng = np.random.default_rng(5)
+    rows = [(0, "nineteen characters\nEnd.\n\nEnd.\n \nEnd!"), (1, "nineteen characterss\nEnd.\n\n \nb"), (2, "a\nab\n\t\nxyz")]
+    rows += [(i, "\n".join("".join(rng.choice(list("abcd "), rng.integers(0, 9))) for _ in range(6))) for i in range(3, 40)]
+    seen, want = [], {}
+    for d, t in rows:
+        keep = []
+        for line in t.split("\n"):
+            if not line.strip() or not any(s == line or edit_one(s, line) for s in seen):
+                keep.append(line)
+            if line.strip():
+                seen.append(line)
+        want[d] = "\n".join(keep)
+    assert want[0] == "nineteen characters\nEnd.\n\n " and want[1] == "\n \nb"
+    assert {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
