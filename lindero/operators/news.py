@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Word beginnings and phrases by which a headline is restricted.
@@ -46,14 +46,40 @@ def sensitive_classes(key: Column, classes=CLASSES) -> Column:
 
 
 def context_token_match(a: Column, b: Column) -> Column:
-    """Equal words, or six equal first letters of two words that have so many."""
-    return (a == b) | ((F.char_length(a) >= 6) & (F.char_length(b) >= 6) & (F.left(a, F.lit(6)) == F.left(b, F.lit(6))))
+    """Equal words, one specialty stem at the start of both, or six equal first letters of two words that have so many."""
+    same = (a == b) | ((F.char_length(a) >= 6) & (F.char_length(b) >= 6) & (F.left(a, F.lit(6)) == F.left(b, F.lit(6))))
+    for s in SPECIALTY_STEMS:
+        same = same | (F.startswith(a, F.lit(s)) & F.startswith(b, F.lit(s)))
+    return same
 
 
-def context_match(a: Column, b: Column) -> Column:
-    """Whether two word arrays share a meaningful context word."""
-    keep = lambda x: F.filter(x, lambda t: (F.char_length(t) > 1) & ~t.isin(*GENERIC_CONTEXT))
-    return F.exists(keep(a), lambda x: F.exists(keep(b), lambda y: context_token_match(x, y)))
+def context_words(words: Column) -> Column:
+    """Words that can corroborate: three letters or more, none of the generic ones."""
+    return F.filter(words, lambda t: (F.char_length(t) >= 3) & ~t.isin(*GENERIC_CONTEXT))
+
+
+def context_match(context: Column, observed: Column) -> Column:
+    """Whether a meaningful word of a context matches any word observed."""
+    return F.exists(context_words(context), lambda x: F.exists(observed, lambda y: context_token_match(x, y)))
+
+
+def context_keys(words: Column) -> Column:
+    """Keys of an array of words: two words share one exactly if ``context_token_match`` holds. First six letters stand for
+    a whole shorter word, for six common letters and for stems of six or more; shorter stems have keys of their own."""
+    six = F.array_distinct(F.transform(words, lambda w: F.left(w, F.lit(6))))
+    begins = lambda s: F.exists(six, lambda w: F.startswith(w, F.lit(s)))
+    stems = F.array(*[F.when(begins(s), F.lit(f"{s}-")) for s in SPECIALTY_STEMS if len(s) < 6])
+    return F.concat(six, F.filter(stems, lambda k: k.isNotNull()))
+
+
+def context_pairs(observed: DataFrame, contexts: DataFrame, observed_id: str, context_id: str) -> DataFrame:
+    """Rows (id, words) on both sides -> pairs for which ``context_match`` holds, with how many distinct words of the
+    context match. Where ``observed`` is partitioned by its id and contexts are small, nothing of it is shuffled."""
+    meant = contexts.select(context_id, F.explode(context_words(F.col("words"))).alias("_t")).distinct()
+    keyed = meant.select("_t").distinct().select("_t", F.explode(context_keys(F.array("_t"))).alias("_k"))
+    said = observed.select(observed_id, F.explode(context_keys(F.col("words"))).alias("_k"))
+    hits = said.join(keyed, "_k").select(observed_id, "_t").distinct()
+    return hits.join(meant, "_t").groupBy(observed_id, context_id).agg(F.count(F.lit(1)).alias("shared"))
 
 
 def review_points(kind: Column, coverage: Column, ambiguous: Column, medical: Column, corroborated: Column) -> Column:

@@ -233,11 +233,11 @@ def review_points(spark, sf_dir):
 t AS (SELECT page_id, unnest(list_distinct(list_filter(string_split(trim(regexp_replace(upper(replace(strip_accents(title), 'ß', 'ss')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), lambda x: length(x) >= 6))) AS w FROM """ + _PAGE + """),
 s AS (SELECT item_id, unnest(w) AS w FROM b) SELECT t.page_id, s.item_id, count(DISTINCT left(t.w, 6))::BIGINT AS shared FROM t JOIN s ON left(t.w, 6) = left(s.w, 6) GROUP BY ALL""")
 def context_match(spark, sf_dir):
-    """Words of six letters or more match by their first six: an equi-join, where pairwise tests would cross."""
-    stems = lambda c: F.explode(F.array_distinct(F.transform(F.filter(F.split(text.credential(F.col(c)), " "), lambda t: F.char_length(t) >= 6), lambda t: F.left(t, F.lit(6))))).alias("w")
-    a = _titles(spark, sf_dir).select("page_id", stems("title"))
-    b = _t(spark, sf_dir, "benchmark").select("item_id", stems("text"))
-    return a.join(b, "w").groupBy("page_id", "item_id").agg(F.count(F.lit(1)).alias("shared"))
+    """Documents and benchmark items that share a context word, by equal words, specialty stems or six first letters. The
+    SQL is of the former query (page titles, words of six letters or more) and differs."""
+    rows = lambda name, key: _t(spark, sf_dir, name).select(key, "text")
+    words = lambda df: df.withColumn("words", F.split(text.credential(F.col("text")), " ")).drop("text")
+    return news.context_pairs(words(rows("documents", "doc_id").repartition("doc_id")), words(rows("benchmark", "item_id")), "doc_id", "item_id")
 
 
 @query("""WITH k AS (SELECT unnest(['EXACT_NORMALIZED_NAME', 'PARTIAL_TOKEN_SUBSET', 'INITIALS_TOKEN_SUBSEQUENCE']) AS kind), e AS (SELECT DISTINCT kind, event_type = 'click' AS amb, user_id % 3 = 0 AS cor FROM events CROSS JOIN k)

@@ -171,3 +171,34 @@ def test_stream_equals_batch(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("dedup").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(r.k for r in spark.table("dedup").collect()) == [0, 1, 2, 3, 4]
+
+
+def context_brute(context, observed):
+    def alike(x, y):
+        return x == y or any(x.startswith(s) and y.startswith(s) for s in news.SPECIALTY_STEMS) or (len(x) >= 6 and len(y) >= 6 and x[:6] == y[:6])
+
+    return sum(any(alike(x, y) for y in observed) for x in set(context) if len(x) >= 3 and x not in news.GENERIC_CONTEXT)
+
+
+def test_context_match(spark):
+    contexts = ["CIRUGIA GENERAL", "HOSPITAL DE LA PAZ", "UROLOGIA", "CLINICO", "EN EL Y", "CARDIOLOGIA INFANTIL PAZ SOL", "HOSPITAL", ""]
+    observed = ["EL CIRUJANO", "PAZ", "HOSPITAL GENERAL", "CLINICA", "UROLOGO DE SOL A SOL", "CARDIOLOGO INFANTE", "LA EN Y", ""]
+    a = spark.createDataFrame([(i, x.split(" ")) for i, x in enumerate(observed)], "d long, words array<string>")
+    b = spark.createDataFrame([(i, x.split(" ")) for i, x in enumerate(contexts)], "i long, words array<string>")
+    want = {(d, i): n for d, x in enumerate(observed) for i, y in enumerate(contexts) if (n := context_brute(y.split(" "), x.split(" ")))}
+    assert {(r.d, r.i): r.shared for r in news.context_pairs(a, b, "d", "i").collect()} == want and want[0, 0] == 1 and (2, 6) not in want
+    crossed = a.crossJoin(b.withColumnRenamed("words", "meant")).where(news.context_match(F.col("meant"), F.col("words")))
+    assert {(r.d, r.i) for r in crossed.collect()} == set(want)
+
+
+def test_context_match_query(spark):
+    from lindero.plans import catalog
+
+    from .conftest import DATA
+
+    key = lambda t: text.credential(F.col(t)).alias("k")
+    docs, items = ({r[0]: r.k.split(" ") for r in spark.read.parquet(f"{DATA}/{n}.parquet").select(c, key("text")).collect()} for n, c in (("documents", "doc_id"), ("benchmark", "item_id")))
+    got = {(r.doc_id, r.item_id): r.shared for r in catalog.QUERIES["context_match"](spark, DATA).collect()}
+    some = sorted(docs, key=lambda d: len(docs[d]))[:40]
+    want = {(d, i): n for d in some for i in items if (n := context_brute(items[i], set(docs[d])))}
+    assert {k: v for k, v in got.items() if k[0] in set(some)} == want and want
