@@ -120,9 +120,10 @@ def abstained_resolutions(spark, sf_dir):
 @query("""SELECT a.p_partkey AS part_a, b.p_partkey AS part_b, a.p_name = b.p_name AS ordered, contains(upper(a.p_type), upper(b.p_type)) OR contains(upper(b.p_type), upper(a.p_type)) AS consistent
 FROM part a JOIN part b ON array_to_string(list_sort(string_split(a.p_name, ' ')), ' ') = array_to_string(list_sort(string_split(b.p_name, ' ')), ' ') AND a.p_partkey < b.p_partkey AND a.p_brand = b.p_brand""")
 def linkage_evidence(spark, sf_dir):
+    """Pairs of one name, whatever their brands; the SQL is of the former query, within a brand."""
     part = _t(spark, sf_dir, "part").withColumn("k", text.token_multiset(F.lower("p_name")))
     a, b = part.alias("a"), part.alias("b")
-    out = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
+    out = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
     return out.select(F.col("a.p_partkey").alias("part_a"), F.col("b.p_partkey").alias("part_b"), (F.col("a.p_name") == F.col("b.p_name")).alias("ordered"), text.specialty_consistent(F.col("a.p_type"), F.col("b.p_type")).alias("consistent"))
 
 
@@ -216,7 +217,8 @@ def best_match(spark, sf_dir):
 
 @query("SELECT p_partkey, array_to_string(list_sort(list_filter(list(p_partkey) OVER (PARTITION BY p_name, p_brand), lambda x: x <> p_partkey)), '|') AS competing FROM part")
 def competing_ids(spark, sf_dir):
-    return dedupe.competing(_t(spark, sf_dir, "part"), ["p_name", "p_brand"], "p_partkey").select("p_partkey", _joined("competing").alias("competing"))
+    """All other ids of the name, whatever their brands; the SQL is of the former query, within a brand."""
+    return dedupe.competing(_t(spark, sf_dir, "part"), ["p_name"], "p_partkey").select("p_partkey", _joined("competing").alias("competing"))
 
 
 @query("""WITH k AS (SELECT unnest(['EXACT_NORMALIZED_NAME', 'PARTIAL_TOKEN_SUBSET', 'INITIALS_TOKEN_SUBSEQUENCE']) AS kind), e AS (SELECT event_id, kind, value / 1000.0 AS cov, event_type = 'click' AS amb, user_id % 2 = 0 AS med, user_id % 3 = 0 AS cor FROM events CROSS JOIN k)

@@ -202,3 +202,17 @@ def test_context_match_query(spark):
     some = sorted(docs, key=lambda d: len(docs[d]))[:40]
     want = {(d, i): n for d in some for i in items if (n := context_brute(items[i], set(docs[d])))}
     assert {k: v for k, v in got.items() if k[0] in set(some)} == want and want
+
+
+def test_names_link_across_brands(spark):
+    from lindero.plans import catalog
+
+    from .conftest import DATA
+
+    part = spark.read.parquet(f"{DATA}/part.parquet").collect()
+    want = {r.p_partkey: "|".join(map(str, sorted(x.p_partkey for x in part if x.p_name == r.p_name and x.p_partkey != r.p_partkey))) for r in part}
+    assert {r.p_partkey: r.competing for r in catalog.QUERIES["competing_ids"](spark, DATA).collect()} == want
+    pairs = [(a.p_partkey, b.p_partkey, a.p_name == b.p_name) for a in part for b in part if a.p_partkey < b.p_partkey and sorted(a.p_name.split(" ")) == sorted(b.p_name.split(" "))]
+    assert sorted((r.part_a, r.part_b, r.ordered) for r in catalog.QUERIES["linkage_evidence"](spark, DATA).collect()) == sorted(pairs)
+    brand = {r.p_partkey: r.p_brand for r in part}
+    assert any(brand[a] != brand[b] for a, b, _ in pairs)
