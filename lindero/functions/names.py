@@ -32,8 +32,8 @@ def flexible_match(canonical: str, observed: str) -> Column:
 
 
 def blocked_pairs(left: DataFrame, right: DataFrame, left_id: str, left_name: str, right_id: str, right_name: str) -> DataFrame:
-    """Pairs that share a word: every flexible relation needs one, so an equi-join on words loses none."""
-    token = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.col(c), " "), lambda t: F.char_length(t) > 1))).alias("_t")
+    """Pairs that share a word, of one letter or more: every flexible relation needs one, so an equi-join on words loses none."""
+    token = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.col(c), " "), lambda t: t != ""))).alias("_t")
     a = left.select(left_id, left_name, token(left_name))
     b = right.select(right_id, right_name, token(right_name))
     return a.join(b, "_t").drop("_t").distinct()

@@ -216,3 +216,12 @@ def test_names_link_across_brands(spark):
     assert sorted((r.part_a, r.part_b, r.ordered) for r in catalog.QUERIES["linkage_evidence"](spark, DATA).collect()) == sorted(pairs)
     brand = {r.p_partkey: r.p_brand for r in part}
     assert any(brand[a] != brand[b] for a, b, _ in pairs)
+
+
+def test_blocking_loses_no_single_letters(spark):
+    words = ["X PEREZ", "A B", "ANA PEREZ", "X Y PEREZ"], ["X P", "A B", "A PEREZ", "X PEREZ", "B A"]
+    a, b = (spark.createDataFrame([(i, w) for i, w in enumerate(x)], f"{k}id long, {k} string") for k, x in zip(("c", "o"), words))
+    found = {(r.c, r.o, r.match.kind) for r in names.flexible_pairs(a, b, "cid", "c", "oid", "o").collect()}
+    crossed = a.crossJoin(b).withColumn("match", names.flexible_match("c", "o")).where("match IS NOT NULL")
+    assert found == {(r.c, r.o, r.match.kind) for r in crossed.collect()}
+    assert ("X PEREZ", "X P", names.INITIALS) in found and ("A B", "A B", names.EXACT) in found
