@@ -25,10 +25,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, 0.8) the document with the smallest id."""
-    found = ngram_join.near_duplicates(docs)
-    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies (five words, 0.8) the document with the smallest id, once. Rows of one id and text are
+    one document. A row without an id goes by its text, after all ids; without id and text it is a document of its own."""
+    by_text = F.expr(f"{1 << 62} + (xxhash64(text) & {(1 << 62) - 1})")
+    blank = F.col("doc_id").isNull() & (F.trim(F.coalesce("text", F.lit(""))) == "")
+    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
+    found = ngram_join.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text"))
+    copies = materialize(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct())
+    kept = named.join(copies, "__id", "left_anti").withColumns({"__t": F.xxhash64("text"), "__b": blank})
+    # only rows that are there more than once are shuffled with their texts
+    key = ["__id", "__t", "__b"]
+    twice = materialize(kept.where("NOT __b").groupBy(*key).count().where("count > 1").drop("count"))
+    first = kept.join(twice, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("__r")).select("__r.*")
+    return kept.join(twice, key, "left_anti").select(*docs.columns).unionByName(first)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -314,6 +314,19 @@ def test_line_dedup_short_lines(spark):
     assert {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
 
 
+def test_near_copies_leave_one_row(spark):
+    import corpus_pipeline
+
+    words = np.random.default_rng(6).permutation([f"w{i}" for i in range(300)])
+    a, b, c, d = (" ".join(words[i : i + 60]) for i in (0, 60, 120, 180))
+    rows = [(1, a), (1, a), (2, a + " x"), (None, a), (3, b), (3, b), (None, c), (None, c), (None, c + " y"), (None, d), (None, ""), (None, ""), (None, None), (4, ""), (5, "")]
+    held = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA)
+    got = [(r.doc_id, r.text) for r in held.collect()]
+    assert held.columns == ["doc_id", "text"] and sorted(x for x in got if x[0]) == [(1, a), (3, b), (4, ""), (5, "")]
+    assert sorted((t or "-")[:-2].startswith(c[:-2]) for i, t in got if i is None and t) == [False, True] and (None, d) in got
+    assert got.count((None, "")) == 2 and got.count((None, None)) == 1 and len(got) == 9
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
