@@ -12,8 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH_ROWS = 256
-TOKEN_ROWS = 1024
+BATCH_ROWS = 1024
 BATCH_BYTES = 16 << 20
 
 
@@ -21,25 +20,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches small enough that a few very long texts don't fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches small enough that a few very long texts don't fill a Python worker. Spark has these limits for a
+    whole session only, read when a plan runs; so every operator sets the same ones, whichever is built last."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which driver and executors share. Only where the
-    setting is absent, as in local tests, is a folder below the warehouse used."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_lindero"
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors share. Where the setting is absent, a folder
+    below the warehouse is used, but on a local master alone, as in tests; elsewhere that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_lindero"
     return f"{base.rstrip('/')}/lindero-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later jobs start from the files, also
-    after an executor is lost."""
-    path = shared_dir(df.sparkSession)
+    """Write ``df`` once to the shared folder and read it back: later jobs start from the files, also after an executor
+    is lost. The folder goes when the application ends; ``remove`` does it sooner."""
+    spark = df.sparkSession
+    path = shared_dir(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def remove(df: DataFrame) -> None:
+    """Deletes the folder of a materialized table that nothing will read again."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 class ChunkCache:
@@ -47,7 +63,7 @@ class ChunkCache:
     ``limit`` chunks: when the newer one is full the older one goes, and what is still in use moves over. That changes
     speed only."""
 
-    def __init__(self, fill: Callable[[list], list], limit: int = 400_000):
+    def __init__(self, fill: Callable[[list], list], limit: int = 150_000):
         self.fill, self.limit = fill, limit
         self.new: dict = {}
         self.old: dict = {}
