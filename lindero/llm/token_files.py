@@ -1,15 +1,20 @@
 """Token ids as binary shard files with Elias-Fano document boundaries.
 
 Shard file (little-endian): all ids of the shard one after the other, 2 bytes each (4 if the vocabulary needs it);
-then the document ends and the sorted doc_ids as Elias-Fano sequences; then a fixed trailer. The boundaries take
-about 2 + log2(ids per document) bits a document, and ``EliasFano.select`` returns any of them from sampled
-positions, without a table of 64-bit offsets. Shard k holds smaller doc_ids than shard k + 1; rows within a shard
-ascend. Ids are written as a stream, so memory holds one Arrow batch and eight bytes a document.
+then the document ends and the sorted doc_ids as Elias-Fano sequences, each with its sampled counts; then a fixed
+trailer. The boundaries take about 2 + log2(ids per document) bits a document. ``EliasFano.select`` returns a range of
+them from the samples and the blocks of the sequence that hold it, read from the file as asked for, so a reader never
+has a table of 64-bit offsets: memory holds the samples (4 bytes for every ``SAMPLE`` bytes of high bits) and one block
+of documents. A writer streams ids, and keeps 12 bytes a document of its shard (a 4-byte length, an 8-byte id).
+
+Shards are dealt by size: one for about ``SHARD_BYTES`` of input, by Spark's own statistics of the plan, and no fewer than
+``spark.sql.shuffle.partitions``. Shard k holds smaller doc_ids than shard k + 1; rows within a shard ascend.
 
 Defined cases: null or empty text: the end id alone. Null doc_id: before all others. Rows with equal doc_id stay
-apart, ordered by a hash of their text; equal rows give equal records. Empty table: no shard, no rows. Other columns
-are ignored, whatever their names. A lost executor's shard is written again under the same name: files are written
-under another name first and renamed.
+apart, ordered by a hash of their text, then by their place in the input, which also spreads them over shards; equal
+rows give equal records but for their start. Empty table: no shard, no rows. Other columns are ignored, whatever their
+names. A lost executor's shard is written again under the same name: files are written under another name first and
+renamed.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TOKEN_ROWS, bounded_batches, shared_dir, table
+from .common import bounded_batches, shared_dir, table
 from .token_ids import word_level
 
-MAGIC = b"LNDIDS01"
-SAMPLE = 256
+MAGIC = b"LNDIDS02"
+SAMPLE = 512
+BLOCK_DOCS = 4096
+SHARD_BYTES = 128 << 20
 END_ID = 1
 
 
@@ -39,60 +46,90 @@ class Trailer:
 
 
 class EliasFano:
-    """A non-decreasing sequence of non-negative integers in near-minimal space."""
+    """A non-decreasing sequence of fewer than 2**32 non-negative integers in near-minimal space: the low bits of each, laid
+    end to end; the high bits as a bitmap in which the i-th one stands at (value i >> low bits) + i; and the number of ones
+    before each ``SAMPLE`` bytes of that bitmap. Held as a function that reads bytes of its written form."""
 
     HEAD = struct.Struct("<QQQQ")  # values, low bits, bytes of low bits, bytes of high bits
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        counts = np.bitwise_count(high).astype(np.int64)
-        self.before = np.concatenate([[0], np.cumsum(counts)[SAMPLE - 1 :: SAMPLE]])  # ones before each block of bytes
+    def __init__(self, part: Callable[[int, int], bytes]):
+        self.part = part
+        self.n, self.low_bits, self.low_size, self.high_size = self.HEAD.unpack(part(0, self.HEAD.size))
+        self.low_at = self.HEAD.size
+        self.high_at = self.low_at + self.low_size
+        blocks = -(-self.high_size // SAMPLE)
+        self.before = np.frombuffer(part(self.high_at + self.high_size, 4 * blocks), "<u4")
 
     @classmethod
-    def of(cls, values: np.ndarray) -> EliasFano:
-        values = np.asarray(values, np.uint64)
-        n, top = len(values), int(values[-1]) if len(values) else 0
+    def pack(cls, values: Iterable[np.ndarray], n: int, top: int) -> bytes:
+        """The written form of ``n`` ascending values up to ``top``, given in blocks."""
+        if n >= 1 << 32:
+            raise ValueError("too many values")
         bits = max(0, (top // n).bit_length() - 1) if n else 0
-        low = ((values[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8) if bits else np.zeros((n, 0), np.uint8)
-        high = np.zeros((top >> bits) + n + 1, np.uint8)
-        high[(values >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = 1
-        return cls(n, bits, np.packbits(low.ravel(), bitorder="little"), np.packbits(high, bitorder="little"))
-
-    def to_bytes(self) -> bytes:
-        return self.HEAD.pack(self.n, self.low_bits, len(self.low), len(self.high)) + self.low.tobytes() + self.high.tobytes()
+        low, high = np.zeros(-(-n * bits // 8) + 8, np.uint8), np.zeros(-(-((top >> bits) + n + 1) // 8), np.uint8)
+        i = 0
+        for block in values:
+            v = np.asarray(block, np.uint64)
+            ones = (v >> np.uint64(bits)).astype(np.int64) + np.arange(i, i + len(v))
+            np.bitwise_or.at(high, ones >> 3, np.left_shift(1, ones & 7).astype(np.uint8))
+            at = np.arange(i, i + len(v)) * bits
+            for b in range(bits):
+                one = (v >> np.uint64(b)) & np.uint64(1)
+                np.bitwise_or.at(low, (at + b) >> 3, (one << ((at + b) & 7).astype(np.uint64)).astype(np.uint8))
+            i += len(v)
+        low = low[: -(-n * bits // 8)]
+        counts = np.add.reduceat(np.bitwise_count(high).astype(np.int64), np.arange(0, len(high), SAMPLE))
+        before = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype("<u4")
+        return cls.HEAD.pack(n, bits, len(low), len(high)) + low.tobytes() + high.tobytes() + before.tobytes()
 
     @classmethod
-    def from_bytes(cls, data: bytes) -> EliasFano:
-        n, bits, a, b = cls.HEAD.unpack_from(data)
-        body = np.frombuffer(data, np.uint8, a + b, cls.HEAD.size)
-        return cls(n, bits, body[:a], body[a:])
-
-    def select(self, i: int) -> int:
-        """Value i, from the sampled counts and at most SAMPLE bytes."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        block = int(np.searchsorted(self.before, i, side="right")) - 1
-        bits = np.unpackbits(self.high[block * SAMPLE : (block + 1) * SAMPLE], bitorder="little")
-        high = block * SAMPLE * 8 + int(np.flatnonzero(bits)[i - int(self.before[block])]) - i
-        at = np.arange(i * self.low_bits, (i + 1) * self.low_bits)
-        low = int((((self.low[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum()) if self.low_bits else 0
+    def of(cls, values: np.ndarray) -> EliasFano:
+        values = np.asarray(values)
+        data = cls.pack([values], len(values), int(values[-1]) if len(values) else 0)
+        return cls(lambda at, size: data[at : at + size])
+
+    def select(self, i: int, j: int | None = None) -> np.ndarray:
+        """Values i to j - 1 (value i alone without j), from the samples and the blocks of high bits that hold them."""
+        j = i + 1 if j is None else j
+        if not 0 <= i <= j <= self.n:
+            raise IndexError((i, j))
+        if i == j:
+            return np.zeros(0, np.int64)
+        first = int(np.searchsorted(self.before, i, side="right")) - 1
+        last = int(np.searchsorted(self.before, j - 1, side="right"))
+        a, b = first * SAMPLE, min(last * SAMPLE, self.high_size)
+        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.part(self.high_at + a, b - a), np.uint8), bitorder="little"))
+        skip = i - int(self.before[first])
+        high = ones[skip : skip + j - i] + 8 * a - np.arange(i, j)
+        if not self.low_bits:
+            return high
+        a, b = i * self.low_bits // 8, -(-j * self.low_bits // 8)
+        bits = np.unpackbits(np.frombuffer(self.part(self.low_at + a, b - a), np.uint8), bitorder="little")
+        begin = i * self.low_bits - 8 * a
+        bits = bits[begin : begin + (j - i) * self.low_bits].reshape(j - i, self.low_bits)
+        low = np.zeros(j - i, np.int64)
+        for k in range(self.low_bits):
+            low |= bits[:, k].astype(np.int64) << k
         return (high << self.low_bits) | low
 
-    def all(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
-        bits = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits).reshape(self.n, self.low_bits)
-        low = (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1) if self.low_bits else 0
-        return (high.astype(np.int64) << self.low_bits) | low
+
+def _running(sizes: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Sums of all sizes so far, a block at a time."""
+    total = 0
+    for s in sizes:
+        out = total + np.cumsum(s, dtype=np.int64)
+        total = int(out[-1]) if len(out) else total
+        yield out
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> list[tuple[int, str, int, int]]:
-    """Writes the shards; returns (shard, path, documents, ids) of each in order, a row a partition."""
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> list[tuple[int, str, int, int]]:
+    """Writes the shards; returns (shard, path, documents, ids) of each in order: a row a shard reaches the driver."""
     spark = docs.sparkSession
-    bounded_batches(spark, TOKEN_ROWS)
+    bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, shard = word_level(tokenizer), TaskContext.get().partitionId()
@@ -101,7 +138,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
         store.create_dir(base)
         final = f"{base}/shard-{shard:06d}.ids"
         part, out = f"{final}.{uuid.uuid4().hex}", None
-        ends, ids, total, nulls = [], [], 0, 0
+        lengths, ids, total, nulls = [], [], 0, 0
         end = np.asarray([end_id], "<u4").tobytes()
         for b in batches:
             out = out or store.open_output_stream(part)
@@ -109,31 +146,41 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) ->
             flat = np.frombuffer(b"".join(got), "<u4")
             out.write(flat.astype("<u4" if wide else "<u2").tobytes())
             sizes = np.asarray([len(x) // 4 for x in got], np.int64)
-            ends.append(total + np.cumsum(sizes))
+            lengths.append(sizes.astype(np.uint32))
             total += int(sizes.sum())
             nulls += b.column(0).null_count
             ids.append(b.column(0).drop_null().to_numpy(zero_copy_only=False))
         if out is None:
             return
-        keys = np.concatenate(ids).astype(np.int64)
-        least = int(keys[0]) if len(keys) else 0
-        a = EliasFano.of(np.concatenate(ends)).to_bytes()
-        k = EliasFano.of(keys.astype(np.uint64) - np.uint64(least & 0xFFFFFFFFFFFFFFFF)).to_bytes()
-        n = len(keys) + nulls
+        held = sum(map(len, ids))
+        least = next((int(x[0]) for x in ids if len(x)), 0)
+        most = next((int(x[-1]) for x in reversed(ids) if len(x)), 0)
+        n = held + nulls
+        a = EliasFano.pack(_running(lengths), n, total)
+        base_id = np.uint64(least & 0xFFFFFFFFFFFFFFFF)
+        k = EliasFano.pack((x.astype(np.uint64) - base_id for x in ids), held, most - least)
         out.write(a + k + Trailer.FORM.pack(MAGIC, 4 if wide else 2, n, nulls, len(a), len(k), least))
         out.close()
         store.move(part, final)
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/shard-{shard:06d}.ids"], "docs": [n], "ids": [total]})
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows = rows.repartitionByRange(n, *key).sortWithinPartitions(*key)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_bytes(rows) // shard_bytes))
+    rows = rows.withColumns({"_h": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    key = [F.col("doc_id").asc_nulls_first(), "_h", "_row"]
+    rows = rows.repartitionByRange(n, *key).sortWithinPartitions(*key).select("doc_id", "text")
     return sorted(tuple(r) for r in rows.mapInArrow(run, "shard long, path string, docs long, ids long").collect())
 
 
+def _bytes(rows: DataFrame) -> int:
+    """The plan's size by Spark's own statistics: of files, what they take on disk; 0 where Spark doesn't know."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def read(path: str, first: int = 0, block: int = 1 << 20) -> Iterator[tuple[int | None, int, np.ndarray]]:
-    """(doc_id, ids of all documents before it, its ids) of each document of a shard; ``first``: ids before the shard."""
+    """(doc_id, ids of all documents before it, its ids) of each document of a shard; ``first``: ids before the shard.
+    Boundaries come through ``select``, up to ``BLOCK_DOCS`` documents at a time, ids about ``block`` at a time."""
     store, base = _open(path)
     with store.open_input_file(base) as f:
         size = f.size()
@@ -141,18 +188,23 @@ def read(path: str, first: int = 0, block: int = 1 << 20) -> Iterator[tuple[int
         if magic != MAGIC:
             raise ValueError(f"not a shard: {path}")
         at = size - Trailer.FORM.size - a - k
-        ends = EliasFano.from_bytes(f.read_at(a, at)).all()
-        keys = EliasFano.from_bytes(f.read_at(k, at + a)).all() + least
-        i, begin = 0, 0
-        while i < n:
-            j = max(i + 1, int(np.searchsorted(ends, begin + block, side="right")))
-            ids = np.frombuffer(f.read_at(int(ends[j - 1] - begin) * width, begin * width), f"<u{width}")
-            start = begin
-            for d in range(i, j):
-                stop = int(ends[d])
-                yield (int(keys[d - nulls]) if d >= nulls else None), first + start, ids[start - begin : stop - begin]
-                start = stop
-            i, begin = j, int(ends[j - 1])
+        ends = EliasFano(lambda i, m: f.read_at(m, at + i))
+        keys = EliasFano(lambda i, m: f.read_at(m, at + a + i))
+        begin = 0
+        for lo in range(0, n, BLOCK_DOCS):
+            hi = min(n, lo + BLOCK_DOCS)
+            stops = ends.select(lo, hi)
+            own = [None] * max(0, min(hi, nulls) - lo) + (keys.select(max(lo, nulls) - nulls, max(hi, nulls) - nulls) + least).tolist()
+            i = 0
+            while i < len(stops):
+                j = max(i + 1, int(np.searchsorted(stops, begin + block, side="right")))
+                ids = np.frombuffer(f.read_at(int(stops[j - 1] - begin) * width, begin * width), f"<u{width}")
+                start = begin
+                for d in range(i, j):
+                    stop = int(stops[d])
+                    yield own[d], first + start, ids[start - begin : stop - begin]
+                    start = stop
+                i, begin = j, int(stops[j - 1])
 
 
 def read_back(spark: SparkSession, shards: list[tuple[int, str, int, int]]) -> DataFrame:
