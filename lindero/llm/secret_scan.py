@@ -1,10 +1,12 @@
 """Secret scans: fixed patterns, and a character convolutional network over every candidate and its context.
 
-Candidates are the maximal runs of 12 or more of the characters that keys are made of, with a digit among them, in the
-whole text; a long run is read in overlapping windows. The network (numpy: one convolution, pooling inside the
-candidate and over its context, one output) is trained on ``labelled_findings``, then calibrated on a held-out half
-(Platt), where the threshold is the highest that still finds ``RECALL`` of the secrets. It adds spans of kind
-``learned``; spans of the patterns stay, and a candidate that overlaps one of them adds nothing.
+Candidates are the maximal runs of ``LEAST`` or more of the characters that keys are made of, less what the fixed
+patterns cover, in the whole text. Only a run that is plainly words is none: letters of one case or capitalised, alone
+or joined by stops and hyphens, each word under ``WORD`` letters and without ``CLUSTER`` consonants in a row. So
+letters-only keys and short passwords are candidates as well. A long run is read in overlapping windows. The network
+(numpy: one convolution, pooling inside the candidate and over its context, one output) is trained on
+``labelled_findings``, in three parts: one fits it, one calibrates it (Platt), and on the third the threshold is the
+highest that still finds ``RECALL`` of the secrets. It adds spans of kind ``learned``; spans of the patterns stay.
 
 Defined cases: a null or empty text has no spans and the digest of ''. Equal rows give equal results. An empty table
 gives an empty table. Other columns are ignored by ``scan``, whatever their names. Rows are judged one by one: nothing
@@ -28,16 +30,18 @@ from .common import bounded_batches, table
 
 KINDS = ("assign", "access", "hex", "learned")
 RECALL = 0.98
-N_FINDINGS = 3000
+N_FINDINGS = 4800
+LEAST, WORD = 8, 20
 ALONG, AROUND, WIDTH, FILTERS = 64, 24, 5, 24
 SIZE = ALONG + 2 * AROUND
 REDACTED = "<SECRET>"
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
+_RUN = re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{LEAST},}}")
+#: What plain words, alone or joined by stops and hyphens, don't have.
+_ODD = re.compile(rf"[0-9+/_=]|[a-z][A-Z]|[A-Z]{{2}}[a-z]|[A-Za-z]{{{WORD}}}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
-_DIGIT = re.compile(r"[0-9]")
 _GROUPS = ("aeiou", "bcdf", "ghjklmnpqrstvwxyz", "AEIOU", "BCDF", "GHJKLMNPQRSTVWXYZ", "0123456789", "+/", "_", ".", "=", "-", " \t\n", "\"'`", ":;,")
 
 
@@ -120,55 +124,70 @@ class Network:
         return np.concatenate(out)
 
 
-def labelled_findings(n: int = N_FINDINGS, seed: int = 7) -> list[tuple[str, int, int, int]]:
-    """(text, start, end, label): keys of many issuers' shapes, and runs of like length that are no secrets."""
+LOW, UP, DIG = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+SYLLABLES = "th er on an re he in ed nd ha at en es of nt ea ti to io le is ou ar as de rt ve que ment ión sch ung lich eau aux st sh wh ly ing tion ble".split()
+
+
+def shapes(rng: np.random.Generator) -> tuple[dict, dict]:
+    """Makers of secrets and of harmless runs, by name."""
+    draw = lambda chars, a, b=None: "".join(rng.choice(list(chars), a if b is None else rng.integers(a, b)))
+    word = lambda k=5: "".join(rng.choice(SYLLABLES, rng.integers(1, k)))
+    num = lambda k: str(rng.integers(10 ** (k - 1), 10**k))
+    two = lambda: f"{rng.integers(100):02d}"
+    secret = {
+        "mixed": lambda: draw(LOW + UP + DIG, 16, 60), "base64": lambda: draw(LOW + UP + DIG + "+/", 20, 60) + "=" * int(rng.integers(0, 3)), "hex": lambda: draw("0123456789abcdef", 16, 64),
+        "cloud id": lambda: "AKIA" + draw(UP + DIG, 16), "repository": lambda: "ghp_" + draw(LOW + UP + DIG, 36), "payment": lambda: "sk_live_" + draw(LOW + UP + DIG, 24),
+        "chat": lambda: f"xoxb-{draw(DIG, 11)}-{draw(LOW + UP + DIG, 24)}", "signed": lambda: f"eyJ{draw(LOW + UP + DIG, 17)}.{draw(LOW + UP + DIG + '_-', 40)}.{draw(LOW + UP + DIG + '_-', 30)}", "maps": lambda: "AIza" + draw(LOW + UP + DIG + "_-", 35),
+        "upper and digits": lambda: draw(UP + DIG, 18, 40), "lower and digits": lambda: draw(LOW + DIG, 18, 40), "letters": lambda: draw(LOW + UP, 16, 48), "lower": lambda: draw(LOW, 20, 40), "upper": lambda: draw(UP, 20, 40), "short": lambda: draw(LOW + UP + DIG, 10, 16),
+    }
+    harmless = {
+        "slug": lambda: f"{word()}-{word()}-{num(2)}-{word()}", "address": lambda: f"{word()}.example.{rng.choice(['net', 'com', 'org'])}/{rng.choice(['en', 'fr', 'de'])}/{num(5)}.html", "instant": lambda: f"2{num(3)}-0{num(1)}-1{num(1)}T1{num(1)}",
+        "name": lambda: f"{word()}_{word()}_{num(2)}_{word()}", "numbers": lambda: f"{num(3)}.{num(3)}.{num(3)}.{num(2)}", "sentence end": lambda: f"{word()}{word()}.{num(4)}", "telephone": lambda: f"+{num(2)}-{num(3)}-{num(3)}-{num(4)}", "decimal": lambda: f"{num(6)}.{num(7)}",
+        "link": lambda: f"//www.{word()}{word()}.org/{num(4)}/{word()}", "file": lambda: f"{word()}/{word()}/{word()}{num(1)}.txt", "long number": lambda: num(rng.integers(8, 17)), "rule": lambda: "=-_."[rng.integers(4)] * int(rng.integers(8, 40)), "dots": lambda: f"{word()}...{word()}{num(1)}.{word()}",
+        "license": lambda: f"BY-{UP[rng.integers(26)]}C-4.0-{word()}-{num(1)}.0", "shout": lambda: f"{word().upper()}{word().upper()}-{word().upper()}{num(2)}", "camel": lambda: f"{word().title()}{word().title()}{word().title()}{num(2)}", "card": lambda: f"{num(4)}-{num(4)}-{num(4)}-{num(4)}", "account": lambda: f"DE{num(10)}{num(10)}",
+        "date": lambda: f"{num(4)}-{two()}-{two()}", "version": lambda: f"v{num(1)}.{num(2)}.{num(1)}-{word()}", "clustered": lambda: "".join(rng.choice(["nd", "th", "st", "sh", "wh", "nt", "rt", "sch", "ngth", "lich", "an", "er", "ly"], rng.integers(4, 9))), "compound": lambda: word(9) + word(9),
+        "clustered title": lambda: "".join(rng.choice(["nd", "th", "st", "sh", "wh", "nt", "rt", "sch", "ea"], rng.integers(4, 9))).title(), "function": lambda: f"{word()}{word().title()}{word().title()}", "clustered shout": lambda: "".join(rng.choice(["ND", "TH", "ST", "SH", "WH", "NT", "ED", "ER"], rng.integers(4, 9))), "path": lambda: f"{word()}/{word()}/{word()}",
+        "joined": lambda: f"{word()}_{word()}_{word()}", "snake": lambda: f"{word()}_{word()}{num(1)}", "label": lambda: f"{word()}{word()}={word()}", "month": lambda: f"{two()}/{two()}/{num(4)}", "hours": lambda: f"{two()}.{two()}-{two()}.{two()}", "doubled": lambda: UP[rng.integers(26)] * 2 + word() + word(), "part": lambda: f"{word(3).upper()}-{num(4)}-{num(2)}",
+    }
+    return secret, harmless
+
+
+def labelled_findings(n: int = N_FINDINGS, seed: int = 7, without: frozenset = frozenset(), only: frozenset | None = None) -> list[tuple[str, int, int, int]]:
+    """(text, start, end, label): keys of many issuers' shapes, and runs of like length that are no secrets. ``without`` and
+    ``only`` name shapes of secrets to leave out or to keep to."""
     rng = np.random.default_rng(seed)
-    draw = lambda chars, k: "".join(rng.choice(list(chars), k))
-    low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    syllables = "th er on an re he in ed nd ha at en es of nt ea ti to io le is ou ar as de rt ve que ment ión sch ung lich eau aux".split()
-    word = lambda: "".join(rng.choice(syllables, rng.integers(1, 5)))
+    secret, harmless = shapes(rng)
+    secret, harmless = [f for k, f in secret.items() if k not in without and (only is None or k in only)], list(harmless.values())
+    word = lambda: "".join(rng.choice(SYLLABLES, rng.integers(1, 5)))
     plain = lambda: " ".join(word() for _ in range(rng.integers(1, 7)))
-    num = lambda k: str(rng.integers(10 ** (k - 1), 10**k))
-    secret = [
-        lambda: draw(low + up + dig, rng.integers(16, 60)), lambda: draw(low + up + dig + "+/", rng.integers(20, 60)) + "=" * rng.integers(0, 3),
-        lambda: draw("0123456789abcdef", rng.integers(16, 64)), lambda: "AKIA" + draw(up + dig, 16), lambda: "ghp_" + draw(low + up + dig, 36), lambda: "sk_live_" + draw(low + up + dig, 24),
-        lambda: "xoxb-" + draw(dig, 11) + "-" + draw(low + up + dig, 24), lambda: "eyJ" + draw(low + up + dig, 17) + "." + draw(low + up + dig + "_-", 40) + "." + draw(low + up + dig + "_-", 30),
-        lambda: "AIza" + draw(low + up + dig + "_-", 35), lambda: draw(up + dig, rng.integers(18, 40)), lambda: draw(low + dig, rng.integers(18, 40)),
-    ]
-    harmless = [
-        lambda: f"{word()}-{word()}-{num(2)}-{word()}", lambda: f"{word()}.example.{rng.choice(['net', 'com', 'org'])}/{rng.choice(['en', 'fr', 'de'])}/{num(5)}.html", lambda: f"2{num(3)}-0{num(1)}-1{num(1)}T1{num(1)}",
-        lambda: f"{word()}_{word()}_{num(2)}_{word()}", lambda: f"{num(3)}.{num(3)}.{num(3)}.{num(2)}", lambda: f"{word()}{word()}.{num(4)}", lambda: f"+{num(2)}-{num(3)}-{num(3)}-{num(4)}", lambda: f"{num(6)}.{num(7)}",
-        lambda: f"//www.{word()}{word()}.org/{num(4)}/{word()}", lambda: f"{word()}/{word()}/{word()}{num(1)}.txt", lambda: f"{num(13)}", lambda: "=" * rng.integers(12, 30) + num(1), lambda: f"{word()}...{word()}{num(1)}.{word()}", lambda: f"BY-{up[rng.integers(26)]}C-4.0-{word()}-{num(1)}.0",
-        lambda: f"{word().upper()}{word().upper()}-{word().upper()}{num(2)}", lambda: f"{word().title()}{word().title()}{word().title()}{num(2)}", lambda: f"{num(4)}-{num(4)}-{num(4)}-{num(4)}", lambda: f"DE{num(10)}{num(10)}",
-    ]
     lead = ["key: ", "Authorization: Bearer ", "secret is ", 'KEY="', "aws_key=", "export X=", "credential ", "pwd ", "", "", "", "", "", ""]
     out = []
     for k in range(n):
         y = k % 2
         made = (secret if y else harmless)[rng.integers(len(secret if y else harmless))]()
-        while len(made) < 12:
-            made += "." + num(4)
+        while len(made) < LEAST:
+            made += "." + word()
         front = plain() + " " + (lead[rng.integers(len(lead))] if y or rng.random() < 0.1 else "")
         out.append((front + made + rng.choice([" ", ". ", '" ', "\n"]) + plain(), len(front), len(front) + len(made), y))
     return out
 
 
-@lru_cache(maxsize=2)
-def train(n: int = N_FINDINGS, recall: float = RECALL, epochs: int = 6, seed: int = 7) -> Network:
+@lru_cache(maxsize=4)
+def train(n: int = N_FINDINGS, recall: float = RECALL, epochs: int = 6, seed: int = 7, without: frozenset = frozenset()) -> Network:
     rng = np.random.default_rng(seed)
-    found = labelled_findings(n, seed)
+    found = labelled_findings(n, seed, without)
     items = [windows(t, a, b)[0] for t, a, b, _ in found]
     y = np.asarray([f[3] for f in found], np.float32)
-    half = np.arange(n) % 3 != 0
-    fit, held = np.flatnonzero(half), np.flatnonzero(~half)
+    turn = np.arange(n) // 2 % 4
+    fit, tune, held = np.flatnonzero(turn < 2), np.flatnonzero(turn == 2), np.flatnonzero(turn == 3)
     net = Network((rng.normal(size=(WIDTH * CHANNELS, FILTERS)) * 0.15).astype(np.float32), np.zeros(FILTERS, np.float32), (rng.normal(size=3 * FILTERS) * 0.15).astype(np.float32), 0.0)
     for epoch in range(epochs):
         for at in np.array_split(rng.permutation(fit), max(1, len(fit) // 32)):
             net.step(*features([items[i] for i in at]), y[at], 0.4 / (1 + epoch / 3))
-    z = np.concatenate([net.forward(*features([items[i] for i in held[k : k + 256]]))[0] for k in range(0, len(held), 256)])
+    z = np.concatenate([net.forward(*features([items[i] for i in tune[k : k + 256]]))[0] for k in range(0, len(tune), 256)])
     a, b = 1.0, 0.0
     for _ in range(200):  # Platt's scaling
-        d = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30))) - y[held]
+        d = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30))) - y[tune]
         a, b = a - 0.05 * float((d * z).mean()), b - 0.5 * float(d.mean())
     net.scale = (a, b)
     p = np.sort(net.score([items[i] for i in held])[y[held] == 1])
@@ -187,28 +206,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def rests(a: int, b: int, own: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of [a, b) that no span covers."""
+    out = []
+    for s, _, e in own:
+        if e > a and s < b:
+            if s > a:
+                out.append((a, s))
+            a = max(a, e)
+    return [*out, (a, b)] if a < b else out
+
+
 def spans_of(texts: list[str], net: Network) -> list[list[tuple[int, int, int]]]:
     """Sorted (start, kind, end) of each text."""
     found, asked, items = [], [], []
     for t, text in enumerate(texts):
         own = base_spans(text)
-        runs = [(m.start(), m.end()) for m in _RUN.finditer(text)]
+        runs = [m.span() for m in _RUN.finditer(text)]
         for a, b in runs:
             if b - a >= 32:
                 own += [(m.start(), 2, m.end()) for m in _HEX.finditer(text, a, b)]
         own.sort()
         found.append(own)
         for a, b in runs:
-            if _DIGIT.search(text, a, b):
-                got = windows(text, a, b)
-                items += got
-                asked.append((t, a, b, len(got), any(s < b and a < e for s, _, e in own)))
+            if _ODD.search(text, a, b):
+                for c, d in rests(a, b, own) if own else [(a, b)]:
+                    if d - c >= LEAST and _ODD.search(text, c, d):
+                        got = windows(text, c, d)
+                        items += got
+                        asked.append((t, c, d, len(got)))
     at, scores = 0, net.score(items)
-    for t, a, b, n, covered in asked:
-        best = scores[at : at + n].max()
-        at += n
-        if best >= net.threshold and not covered:
+    for t, a, b, n in asked:
+        if scores[at : at + n].max() >= net.threshold:
             found[t].append((a, 3, b))
+        at += n
     for own in found:
         own.sort()
     return found
