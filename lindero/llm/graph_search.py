@@ -1,15 +1,19 @@
 """Approximate nearest neighbours by robust-pruned directed graphs, one a shard.
 
 Equal vectors are one node that carries its ``k + 1`` smallest ids, which is all that a search for ``k`` can return of
-it; so a vector that a third of all rows share is one node. Distinct vectors are dealt to shards of about
-``SHARD_ROWS`` by a hash. Each shard's graph is built by greedy searches that propose neighbours and by robust pruning:
-of the candidates, nearest first, one is kept unless a kept one is ``ALPHA`` times nearer to it. Blocks of queries
-meet every shard, where beam search runs for all queries of a block in step; scores are computed anew in double
-precision on the original vectors. Graphs are written to the shared folder once, so a lost executor costs a task.
+it; so a vector that a third of all rows share is one node. Distinct vectors are dealt to shards by a hash. Shards grow
+with the table, from ``SHARD_ROWS`` to ``MOST_ROWS`` vectors, so that their number, and with it the searches of a query,
+stays near ``SHARDS`` until then. Each shard's graph is built by greedy searches that propose neighbours and by robust
+pruning: of the candidates, nearest first, one is kept unless a kept one is ``ALPHA`` times nearer to it; entries are
+spread by taking the farthest again and again. All queries meet every shard in blocks, where beam search runs for all
+queries of a block in step; a shard with no more vectors than the beam is wide is searched whole. Vectors are
+compared in double precision, so near copies are told apart, and scores are computed on the original vectors, scaled by
+powers of two against overflow. Graphs are written to the shared folder once, so a lost executor costs a task.
 
 Defined cases: null or empty vectors, vectors of zeros or with null or non-finite parts, and null ids take no part.
-Vectors meet only those of their own length. Repeated rows count once. Ties go to the smaller id. Fewer candidates
-than k: all of them. An empty table gives an empty table. Other columns are ignored, whatever their names.
+Vectors meet only those of their own length. Repeated rows count once. Of several vectors with one id the least (by
+length, then by its parts in order) counts. Ties go to the smaller id. Fewer candidates than k: all of them. An empty
+table gives an empty table. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,20 +25,26 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import bounded_batches, materialize, table
 
-SHARD_ROWS = 4096
+SHARD_ROWS, MOST_ROWS, SHARDS = 4096, 16384, 64
 DEGREE = 24
 BEAM = 64
 ALPHA = 1.2
-ENTRIES = 8
-BLOCK = 512
+ENTRIES = 16
+BLOCK = 256
 
 
-def unit(v: np.ndarray) -> np.ndarray:
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, so that its largest part is between a half and one: nothing is rounded (but parts
+    that are 2**-1000 of the largest), and squares don't overflow."""
     v = v.astype(np.float64)
-    v = v / np.abs(v).max(axis=1, keepdims=True)  # no overflow on the way
-    return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=-1, keepdims=True))[1])
+
+
+def unit(v: np.ndarray) -> np.ndarray:
+    v = scaled(v)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
 def beam(vec: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.ndarray, width: int, at_once: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +53,7 @@ def beam(vec: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.nd
     seen = np.zeros((q, n), bool)
     seen[:, entries] = True
     ids = np.full((q, width), -1)
-    sims = np.full((q, width), -np.inf, np.float32)
+    sims = np.full((q, width), -np.inf)
     m = min(len(entries), width)
     ids[:, :m], sims[:, :m] = entries[:m], queries @ vec[entries[:m]].T
     opened = ids < 0
@@ -62,7 +72,7 @@ def beam(vec: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.nd
         fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
         r, c = np.nonzero(fresh)
         seen[todo[r], near[r, c]] = True
-        got = np.full(near.shape, -np.inf, np.float32)
+        got = np.full(near.shape, -np.inf)
         got[r, c] = np.einsum("ij,ij->i", vec[near[r, c]], queries[todo[r]])
         all_ids = np.concatenate([ids[todo], np.where(fresh, near, -1)], axis=1)
         all_sims = np.concatenate([sims[todo], got], axis=1)
@@ -100,13 +110,17 @@ def build(vec: np.ndarray, degree: int = DEGREE, width: int = BEAM, alpha: float
     n, rng = len(vec), np.random.default_rng(seed)
     degree = min(degree, max(1, n - 1))
     graph = rng.integers(0, n, (n, degree)).astype(np.int32)
-    middle = int((vec @ vec.mean(axis=0)).argmax())
-    entries = np.unique(np.concatenate([[middle], rng.integers(0, n, ENTRIES - 1)]))
+    entries = [int((vec @ vec.mean(axis=0)).argmax())]
+    near = vec @ vec[entries[0]]
+    while len(entries) < min(n, ENTRIES):
+        entries.append(int(near.argmin()))
+        near = np.maximum(near, vec @ vec[entries[-1]])
+    entries = np.unique(entries)
     if n == 1:
         return np.full((1, 1), -1, np.int32), entries
     for strict in (1.0, alpha):
         for batch in np.array_split(rng.permutation(n), -(-n // 512)):
-            found, _ = beam(vec, graph, entries, vec[batch], width)
+            found, _ = beam(vec, graph, entries, vec[batch], width if strict > 1 else width // 2)
             graph[batch] = prune(vec, batch, np.concatenate([found, graph[batch]], axis=1), degree, strict)
             frm, to = np.repeat(batch, degree), graph[batch].ravel()
             frm, to = frm[to >= 0], to[to >= 0]
@@ -115,8 +129,9 @@ def build(vec: np.ndarray, degree: int = DEGREE, width: int = BEAM, alpha: float
             nodes, first, counts = np.unique(to, return_index=True, return_counts=True)
             extra = np.full((len(nodes), counts.max()), -1, np.int32)
             extra[np.repeat(np.arange(len(nodes)), counts), np.arange(len(to)) - np.repeat(first, counts)] = frm
-            for lo in range(0, len(nodes), 512):
-                some = slice(lo, lo + 512)
+            by_count = np.argsort(counts, kind="stable")  # so that a node with many proposers doesn't widen others
+            for lo in range(0, len(nodes), 256):
+                some = by_count[lo : lo + 256]
                 most = counts[some].max()
                 graph[nodes[some]] = prune(vec, nodes[some], np.concatenate([graph[nodes[some]], extra[some, :most]], axis=1), degree, strict)
     return graph, entries
@@ -124,12 +139,16 @@ def build(vec: np.ndarray, degree: int = DEGREE, width: int = BEAM, alpha: float
 
 def nearest(queries: np.ndarray, own: np.ndarray, nodes: np.ndarray, ids: np.ndarray, begin: np.ndarray, graph: np.ndarray, entries: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """(query id, id, cosine in double precision): up to k of this shard for each query."""
-    found, _ = beam(unit(nodes), graph, entries, unit(queries), min(BEAM, len(nodes)))
+    if len(nodes) <= BEAM:
+        found = np.broadcast_to(np.arange(len(nodes)), (len(queries), len(nodes)))
+    else:
+        found, _ = beam(unit(nodes), graph, entries, unit(queries), BEAM)
     out = []
-    length = np.linalg.norm(nodes.astype(np.float64), axis=1)
-    for q, own_id, near in zip(queries.astype(np.float64), own, found):
+    nodes, queries = scaled(nodes), scaled(queries)
+    length = np.linalg.norm(nodes, axis=1)
+    for q, own_id, near in zip(queries, own, found):
         near = near[near >= 0]
-        cos = nodes[near].astype(np.float64) @ q / (length[near] * np.linalg.norm(q))
+        cos = nodes[near] @ q / (length[near] * np.linalg.norm(q))
         top = np.argsort(-cos, kind="stable")
         few: list[tuple[float, int]] = []
         for i in top:
@@ -140,16 +159,17 @@ def nearest(queries: np.ndarray, own: np.ndarray, nodes: np.ndarray, ids: np.nda
     return out
 
 
-def search(rows: DataFrame, every: int = 50, k: int = 5, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def search(rows: DataFrame, every: int = 50, k: int = 5, shard_rows: int | None = None) -> DataFrame:
     spark = rows.sparkSession
+    bounded_batches(spark)
     good = "vec_id IS NOT NULL AND size(embedding) > 0 AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(embedding, x -> x <> 0)"
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(good)
-    rows = rows.distinct()
-    first = Window.partitionBy("embedding").orderBy("vec_id")
+    rows = rows.groupBy("vec_id").agg(F.min(F.struct(F.size("embedding").alias("dim"), "embedding")).alias("v")).select("vec_id", "v.*")
+    first = Window.partitionBy("dim", "embedding").orderBy("vec_id")
     few = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k + 1)
-    nodes = materialize(few.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("dim", F.size("embedding")))
+    nodes = materialize(few.groupBy("dim", "embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     n = nodes.count()
-    shards = max(1, -(-n // shard_rows))
+    shards = max(1, -(-n // (shard_rows or min(MOST_ROWS, max(SHARD_ROWS, n // SHARDS)))))
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
 
     def make(group: pd.DataFrame) -> pd.DataFrame:
@@ -161,7 +181,7 @@ def search(rows: DataFrame, every: int = 50, k: int = 5, shard_rows: int = SHARD
         return pd.DataFrame([(int(group["shard"].iloc[0]), vec.shape[1], blob(vec, "<f8"), blob(np.concatenate(group["ids"].to_numpy()), "<i8"), blob(begin, "<i8"), graph.shape[1], blob(graph, "<i4"), blob(entries, "<i4"))], columns=["shard", "dim", "nodes", "ids", "begin", "degree", "graph", "entries"])
 
     index = materialize(nodes.groupBy("shard", "dim").applyInPandas(make, "shard int, dim int, nodes binary, ids binary, begin binary, degree int, graph binary, entries binary"))
-    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0).withColumn("dim", F.size("embedding"))
+    asked = materialize(rows.where(F.pmod("vec_id", F.lit(every)) == 0))
     blocks = max(1, -(-asked.count() // BLOCK))
     asked = asked.groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
@@ -174,7 +194,6 @@ def search(rows: DataFrame, every: int = 50, k: int = 5, shard_rows: int = SHARD
                 got = nearest(np.stack([np.asarray(q["embedding"], float) for q in r.queries]), own, read(r.nodes, "<f8").reshape(-1, r.dim), read(r.ids, "<i8"), read(r.begin, "<i8"), read(r.graph, "<i4").reshape(-1, r.degree), read(r.entries, "<i4"), k)
                 yield pd.DataFrame(got, columns=["query_id", "vec_id", "score"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     met = asked.join(index, ["shard", "dim"])
     found = met.repartition(max(1, min(shards * blocks, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))), "shard", "block").mapInPandas(find, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
