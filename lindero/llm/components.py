@@ -1,8 +1,9 @@
 """Connected components of a table of links, without bringing links to the driver.
 
 Alternating stars: every node's larger neighbours are tied to the smallest node it knows, then every node's smaller
-ones, until nothing changes. Each step is a grouped minimum with partial aggregation, so a node with very many links
-is no hot spot, and its result is a written table, so a lost executor costs one step.
+ones, until nothing changes. Each minimum is aggregated before the shuffle and written, a row a node; links then join it
+as a shuffle of their own, which AQE cuts where a node has very many links (nothing else needs that partitioning, so it
+may). Each step's result is a written table, so a lost executor costs one step; tables that are done with are deleted.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, remove
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,16 +21,19 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # large star: larger neighbours of a node go to the least of the node and its neighbours
         two = both(edges)
-        least = two.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = two.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large)
+        least = materialize(two.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
+        large = materialize(two.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        remove(least)
+        remove(edges)
         # small star: smaller neighbours, and the node itself, go to the least smaller neighbour
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        small = materialize(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct())
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")))
+        joined = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = materialize(joined.union(least.select("a", F.col("m").alias("b"))).distinct())
         # done when every node has one link and no target has one of its own
-        deep = small.select(F.col("b").alias("a")).join(small, "a", "left_semi").limit(1).count()
+        deep = small.select(F.col("b").alias("a")).distinct().join(small, "a", "left_semi").limit(1).count()
         many = small.groupBy("a").count().where("count > 1").limit(1).count()
+        remove(least)
+        remove(large)
         edges = small
         if not deep and not many:
             break

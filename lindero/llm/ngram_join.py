@@ -6,16 +6,21 @@ one of the first ``n - ceil(t n) + 1`` shingles of each, so only these are liste
 A list is cut by length bands; its least node is its hub, and every node meets in the hub's block all nodes it shares
 a list with. Inside a block each set asks an inverted index for the sets with at least ``ceil(t n)`` shingles in
 common: short lists are merged on a heap that skips, long ones probed by binary search. Sets already connected are not
-asked for again, and nothing is emitted but links that connect.
+asked for again, and nothing is emitted but links that connect. Before that, each set is compared with up to
+``LEADERS`` earlier ones, the latest of groups found so far; that settles most near copies without a search, and the
+search sees the rest (with ``LEADERS`` 0, all).
 
 Before sets travel to blocks, bitmaps of an eighth of their size do: members without a partner that these leave
-possible go. Blocks over ``CHUNK`` nodes are cut into chunks. Chunks are searched first; only where a block's nodes then lie in
-more than one component do chunks meet in pairs, and only nodes of different components are compared. So no link
-between different components is lost, and a group of thousands of near copies costs about its size.
+possible go. Blocks over ``CHUNK`` nodes or ``CHUNK_BYTES`` of sets are cut into chunks, so a block of very long
+documents is cut too. Chunks are searched first; only where a block's nodes then lie in more than one component do
+chunks meet in pairs, by their bitmaps first, and only nodes of different components are compared. So no link between
+different components is lost, and a group of thousands of near copies costs about its size.
 
 Defined cases: null or empty texts have empty sets, which link with nothing. A null doc_id has a set but no links and
-a null component. Rows with one doc_id are one document. Equal rows get equal results. An empty table gives an empty
-table. Other columns are ignored, whatever their names.
+a null component. Rows with one doc_id are one document: its texts' sets are linked with each other, so each document
+has one component, while n_shingles is of the row's own text. ``near_rows`` takes rows apart instead, each by doc_id
+and text. Equal rows get equal results. An empty table gives an empty table. Other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -35,7 +40,9 @@ from .common import bounded_batches, materialize, table
 from .components import components
 
 BUCKET_BITS = 16
-CHUNK = 1024
+PARTS = 64
+CHUNK, CHUNK_BYTES = 1024, 16 << 20
+LEADERS = 4
 MU = 0.02
 
 
@@ -134,13 +141,13 @@ def folded(b: np.ndarray, size: int) -> np.ndarray:
     return b
 
 
-def may_link(sizes: np.ndarray, bits: list[np.ndarray], t: int) -> np.ndarray:
-    """Which sets of a block have a partner that their bitmaps don't rule out. A bit of one that the other lacks is a
-    shingle that they don't share, so nothing that links is ruled out."""
+def may_link(sizes: np.ndarray, bits: list[np.ndarray], t: int, labels: np.ndarray | None = None, sides: np.ndarray | None = None) -> np.ndarray:
+    """Which sets of a block have a partner (of another label and side, if given) that their bitmaps don't rule out. A bit of
+    one that the other lacks is a shingle that they don't share, so nothing that links is ruled out."""
     order = np.argsort(sizes, kind="stable")
     hit = np.zeros(len(sizes), bool)
     for size in {len(b) for b in bits}:
-        rows = [i for i in order if len(bits[i]) in (size, 2 * size)]
+        rows = np.asarray([i for i in order if len(bits[i]) in (size, 2 * size)])
         table = np.stack([folded(bits[i], size) for i in rows])
         words = table.view(np.uint64)
         n = sizes[rows]
@@ -151,10 +158,14 @@ def may_link(sizes: np.ndarray, bits: list[np.ndarray], t: int) -> np.ndarray:
                 lacks = np.bitwise_count(words[r] & ~words[c:d]).sum(axis=1)
                 both = n[r] - lacks.astype(np.int64)
                 both = np.minimum(both, n[c:d] - np.bitwise_count(words[c:d] & ~words[r]).sum(axis=1).astype(np.int64))
-                ok = np.flatnonzero(100 * both >= t * (n[r] + n[c:d] - both))
+                ok = 100 * both >= t * (n[r] + n[c:d] - both)
+                for apart in (labels, sides):
+                    if apart is not None:
+                        ok &= apart[rows[c:d]] != apart[i]
+                ok = np.flatnonzero(ok)
                 if len(ok):
                     hit[i] = True
-                    hit[np.asarray(rows)[c + ok]] = True
+                    hit[rows[c + ok]] = True
     return hit
 
 
@@ -171,11 +182,15 @@ def bucket(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+SETS = "doc_id long, t long, n long, node long, bits binary, part int, counts binary"
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """A row a document, and a row a task with its bucket counts."""
+    """A row a document, and ``PARTS`` rows a task with its bucket counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = Shingles(k), np.zeros(1 << BUCKET_BITS, np.int64)
+        names = ["doc_id", "t", "n", "node", "bits", "part", "counts"]
         for b in batches:
             sets = list(shingles(b.column(1)))
             for x in sets:
@@ -183,24 +198,29 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             small = [x for x in sets if len(x) <= 5000]
             if small:
                 total += np.bincount(bucket(np.concatenate(small)), minlength=len(total))
-            nodes = [node_of(x) if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array([bitmap(x) if len(x) else None for x in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], ["doc_id", "n", "node", "bits", "counts"])
+            nodes, m = [node_of(x) if len(x) else None for x in sets], len(sets)
+            bits = pa.array([bitmap(x) if len(x) else None for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), bits, pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], ["doc_id", "n", "node", "bits", "counts"])
+            none = [pa.nulls(PARTS, pa.int64())] * 4 + [pa.nulls(PARTS, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(total, PARTS)], pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, bits binary, counts binary")
+    return docs.mapInArrow(run, SETS)
 
 
 def _counts(sets: DataFrame) -> np.ndarray:
+    """Bucket counts of all documents: each part of the buckets is summed by a task of its own, as a stream."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for x in b.column(0):
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+            for part, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                sums[part] = sums.get(part, 0) + np.frombuffer(x, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "counts"])
 
-    rows = sets.where("counts IS NOT NULL").select("counts").repartition(8).mapInArrow(run, "counts binary").collect()
-    return sum((np.frombuffer(r[0], np.int64) for r in rows), np.zeros(1 << BUCKET_BITS, np.int64))
+    rows = sets.where("counts IS NOT NULL").select("part", "counts").repartition("part").mapInArrow(run, "part int, counts binary").collect()
+    found = {r.part: np.frombuffer(r.counts, np.int64) for r in rows}
+    return np.concatenate([found.get(i, np.zeros((1 << BUCKET_BITS) // PARTS, np.int64)) for i in range(PARTS)])
 
 
 def _prefixes(docs: DataFrame, k: int, t: int, counts: np.ndarray) -> DataFrame:
@@ -331,34 +351,35 @@ def search_block(nodes: list[int], sets: list[np.ndarray], t: int, labels: list
             for x in tokens[i]:
                 postings.setdefault(x, []).append(i)
             if all(forest.find(i) != forest.find(j) for j in leaders):
-                leaders = [*leaders[-3:], i]
+                leaders = [*leaders[1 - LEADERS :], i] if LEADERS > 1 else [i][:LEADERS]
     return out
 
 
-def _possible(rows: DataFrame, t: int) -> DataFrame:
-    """Members that their bitmaps leave with a possible partner in their chunk; all members of blocks of many chunks,
-    where partners may be in another one."""
+def _possible(rows: DataFrame, by: list[str], t: int) -> DataFrame:
+    """rows: the columns ``by``, node, n, bits, and perhaps root and side -> the columns ``by`` and the nodes that their
+    bitmaps leave with a possible partner in their block."""
+    cols = [c for c in ("root", "side") if c in rows.columns]
+    kinds = {"hub": pa.int64(), "node": pa.int64()}
+    schema = pa.schema([(c, kinds.get(c, pa.int32())) for c in (*by, "node")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         out: list[tuple] = []
 
         def close() -> None:
-            if held and held[0]["chunks"] > 1:
-                out.extend((r["hub"], r["chunk"], r["chunks"], r["node"]) for r in held)
-            elif len(held) > 1:
-                keep = may_link(np.asarray([r["n"] for r in held]), [np.frombuffer(r["bits"], np.uint8) for r in held], t)
-                out.extend((r["hub"], r["chunk"], r["chunks"], r["node"]) for r, ok in zip(held, keep) if ok)
+            if len(held) > 1:
+                labels, sides = (np.asarray([r[c] for r in held]) if c in held[0] else None for c in ("root", "side"))
+                keep = may_link(np.asarray([r["n"] for r in held]), [np.frombuffer(r["bits"], np.uint8) for r in held], t, labels, sides)
+                out.extend((*key, r["node"]) for r, ok in zip(held, keep) if ok)
 
         def flush() -> pa.RecordBatch:
-            cols = list(zip(*out)) or [()] * 4
+            cols = list(zip(*out)) or [()] * len(schema)
             out.clear()
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["hub", "chunk", "chunks", "node"])
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
         for batch in batches:
             for r in batch.to_pylist():
-                if key != (now := (r["hub"], r["chunk"])):
+                if key != (now := tuple(r[c] for c in by)):
                     close()
                     key, held = now, []
                 held.append(r)
@@ -366,8 +387,8 @@ def _possible(rows: DataFrame, t: int) -> DataFrame:
         close()
         yield flush()
 
-    spread = rows.select("hub", "chunk", "chunks", "node", "n", "bits").repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "node")
-    return spread.mapInArrow(run, "hub long, chunk int, chunks int, node long")
+    spread = rows.select(*by, "node", "n", "bits", *cols).repartition(*by).sortWithinPartitions(*by, "node")
+    return spread.mapInArrow(run, ", ".join(f"{c} {'long' if c in kinds else 'int'}" for c in (*by, "node")))
 
 
 def _blocks(rows: DataFrame, by: list[str], t: int) -> DataFrame:
@@ -401,30 +422,43 @@ def _blocks(rows: DataFrame, by: list[str], t: int) -> DataFrame:
     return spread.mapInArrow(run, "a long, b long").distinct()
 
 
-def connect(docs: DataFrame, k: int = 5, t: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, node) of every document, and (node, root) of linked nodes. ``t`` in per cent."""
+def connect(docs: DataFrame, k: int = 5, t: int = 80, apart: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, t, n, node) of every row, t a hash of its text, and (node, root) of linked nodes. ``t`` in per cent. Nodes of
+    one doc_id are linked unless ``apart``."""
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
     every = materialize(_sets(docs, k))
-    sets = every.where("counts IS NULL").drop("counts", "bits")
-    entries = materialize(_prefixes(docs.where("doc_id IS NOT NULL"), k, t, _counts(every)))
-    lists = entries.groupBy("s").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("s")
-    entries = entries.join(lists, "s")
+    sets = every.where("counts IS NULL").select("doc_id", "t", "n", "node")
+    full = sets.where("node IS NOT NULL AND doc_id IS NOT NULL")
+    entries = materialize(_prefixes(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), k, t, _counts(every)))
+    lists = materialize(entries.groupBy("s").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("s"))
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / (t - 0.01)))).cast("int")
-    entries = materialize(entries.select("s", "node", F.explode(F.array(band, band + 1)).alias("band")).distinct())
+    entries = materialize(entries.join(lists, "s").select("s", "node", "n", F.explode(F.array(band, band + 1)).alias("band")).distinct())
     hubs = entries.groupBy("s", "band").agg(F.min("node").alias("hub"), F.max("node").alias("b")).where("hub <> b").drop("b")
-    member = materialize(entries.join(hubs, ["s", "band"]).select("hub", "node").distinct())
-
-    parts = member.groupBy("hub").count().select("hub", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    member = member.join(parts, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    bits = every.where("bits IS NOT NULL").select("node", "n", "bits").join(member.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    member = materialize(_possible(member.join(bits, "node"), t))
-
-    ids = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = ids.join(member.select("node").distinct(), "node", "left_semi").select("doc_id").distinct()
-    wanted = _wanted(docs.join(ids, "doc_id", "left_semi"), k)
-    wanted = materialize(wanted.join(member.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
-    links = materialize(_blocks(member.join(wanted, "node"), ["hub", "chunk"], t))
+    member = materialize(entries.join(hubs, ["s", "band"]).select("hub", "node", "n").distinct())
+
+    cuts = F.ceil(F.greatest(F.col("count") / CHUNK, F.col("size") * 8 / CHUNK_BYTES)).cast("int")
+    parts = member.groupBy("hub").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size")).select("hub", cuts.alias("chunks"))
+    member = materialize(member.drop("n").join(parts, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
+    # a row a node first, so that copies of one text meet as one; then those in blocks
+    bits = every.where("bits IS NOT NULL").select("node", "n", "bits").dropDuplicates(["node"])
+    bits = materialize(bits.join(member.select("node").distinct(), "node", "left_semi"))
+    first = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+
+    def held(nodes: DataFrame) -> DataFrame:
+        """The sets of these nodes, from the first document of each."""
+        nodes = materialize(nodes.select("node").distinct())
+        ids = first.join(nodes, "node", "left_semi").select("doc_id").distinct()
+        return materialize(_wanted(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), k).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+
+    near = materialize(_possible(member.join(bits, "node"), ["hub", "chunk"], t))
+    links = _blocks(near.join(held(near), "node"), ["hub", "chunk"], t)
+    if not apart:
+        several = materialize(full.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a"))
+        if several.limit(1).count():
+            links = links.union(full.join(several, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct())
+    links = materialize(links)
     roots = components(links)
 
     wide = member.where("chunks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -433,7 +467,9 @@ def connect(docs: DataFrame, k: int = 5, t: int = 80) -> tuple[DataFrame, DataFr
     if wide.limit(1).count():
         other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
         pairs = wide.withColumn("other", other).where("other <> chunk").withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other"), "side": F.col("chunk")})
-        more = materialize(_blocks(pairs.join(wanted, "node"), ["hub", "i", "j"], t))
+        key = ["hub", "i", "j"]
+        near = materialize(_possible(pairs.join(bits, "node"), key, t).join(pairs.select(*key, "node", "root", "side"), [*key, "node"]))
+        more = materialize(_blocks(near.join(held(near), "node"), key, t))
         if more.limit(1).count():
             roots = components(links.union(more))
     return sets, roots
@@ -444,10 +480,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, t: int = 80) -> DataFrame:
     sets, roots = connect(docs, k, t)
     least = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = least.groupBy("root").agg(F.min("least").alias("component"))
-    named = least.join(first, "root").select("node", "component")
+    named = materialize(least.join(first, "root").select("node", "component"))
     out = sets.join(named, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def near_rows(docs: DataFrame, k: int = 5, t: int = 80) -> DataFrame:
+    """doc_id and text_hash (``xxhash64``) of every distinct row that links with another or shares its set, and whether it is the
+    first of its component: the least doc_id, then the least hash."""
+    sets, roots = connect(docs, k, t, apart=True)
+    rows = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id", F.col("t").alias("text_hash")).agg(F.min("node").alias("node"))
+    rows = materialize(rows)
+    of = materialize(rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("a"), F.max(F.struct("doc_id", "text_hash")).alias("b")).join(roots, "node", "left"))
+    of = of.where("root IS NOT NULL OR a <> b").withColumn("root", F.coalesce("root", "node"))
+    first = of.groupBy("root").agg(F.min("a").alias("first"))
+    named = materialize(of.join(first, "root").select("node", "first"))
+    return rows.join(named, "node").select("doc_id", "text_hash", (F.struct("doc_id", "text_hash") == F.col("first")).alias("is_first"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, t=85)
+
+
+#: All pairs that share a shingle, and what they reach. Exact where doc_ids are unique.
+ORACLE = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS s FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common, any_value(a.n) AS m, any_value(b.n) AS n FROM x a JOIN x b USING (x) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+h AS (SELECT a, b FROM p WHERE 100 * common >= 85 * (m + n - common)),
+l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(c.least, s.doc_id)) AS component_id FROM s LEFT JOIN c USING (doc_id)"""
