@@ -10,9 +10,9 @@ distance one share the variant with the same character left out; a longer one ha
 part. Every line is joined with the earliest line that shares a variant, never with all of them, the edit distance of
 each joined pair is verified, and the earliest line stays. Nothing but removed positions meets the texts again.
 
-Defined cases: a null text stays null, blank lines (white space alone) take no part and stay. Rows with equal doc_id and text are
-one document, so they lose the same lines. An empty table gives an empty table. Extra columns stay, whatever their
-names (working names start with ``__``).
+Defined cases: a null text stays null, blank lines (white space alone) take no part and stay. Rows with equal doc_id and
+text are one document, so they lose the same lines; a null doc_id is an id before all others. An empty table gives an
+empty table. Extra columns stay, whatever their names (working names start with ``__``).
 """
 
 from __future__ import annotations
@@ -63,7 +63,8 @@ def _perhaps(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 def near_lines(texts: DataFrame, occ: DataFrame, lines: DataFrame) -> DataFrame:
     """Hashes of the lines that have an earlier line at distance one."""
     keyed = occ.select("__h1", F.explode("__keys").alias("__k"))
-    shared = keyed.groupBy("__k").agg(F.min("__h1").alias("a"), F.max("__h1").alias("b")).where("a <> b").select("__k")
+    # written, as the lines to remove below are: a join with a table of one row a key is one that AQE may cut at a hot key
+    shared = materialize(keyed.groupBy("__k").agg(F.min("__h1").alias("a"), F.max("__h1").alias("b")).where("a <> b").select("__k"))
     found = keyed.join(shared, "__k").groupBy("__h1").agg(F.collect_set("__k").alias("__ks"))
     found = found.join(lines.drop("__count"), "__h1").select(*HASH, "__ks", "__first", *[F.col(f"__first.{c}").alias(c) for c in (*DOC, "__p")])
     per_doc = materialize(found.groupBy(*DOC).agg(F.collect_list(F.struct(*HASH, "__ks", "__first", "__p")).alias("__c")))
@@ -96,7 +97,7 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     occ = materialize(lined.select(*DOC, "__p", F.xxhash64("__line").alias("__h1"), F.xxhash64(F.lit(7), "__line").alias("__h2"), F.expr(_HASHES).alias("__keys")))
     lines = occ.groupBy(*HASH).agg(_earliest().alias("__first"), F.count(F.lit(1)).alias("__count"))
     near = near_lines(texts, occ, lines).withColumn("__near", F.lit(True))
-    gone = lines.join(near, HASH, "left").where("__count > 1 OR __near")
+    gone = materialize(lines.join(near, HASH, "left").where("__count > 1 OR __near"))
     out = occ.drop("__keys").join(gone, HASH).where(F.coalesce("__near", F.lit(False)) | (F.struct(*DOC, "__p") != F.col("__first")))
     out = out.groupBy(*DOC).agg(F.collect_set("__p").alias("__gone"))
     joined = texts.join(out, DOC, "left")
@@ -110,3 +111,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lines, removed lines and the text that stays."""
     out = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("__lines")).cast("long").alias("n_lines"), F.col("__removed").alias("n_removed"), "text")
+
+
+#: Pairs of lines by length and edit distance, without keys or variants. DuckDB's distance counts bytes, up to four of them a
+#: character, so pairs within four are looked at character by character. Exact where doc_ids are unique.
+ORACLE = """
+WITH o AS (SELECT doc_id, p, l[p] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), unnest(range(1, len(l) + 1)) AS r(p)),
+t AS (SELECT * FROM o WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+f AS (SELECT line, length(line) AS n, min((doc_id, p)) AS first FROM t GROUP BY line),
+w AS (SELECT line, first, unnest([n - 1, n, n + 1]) AS n FROM f),
+c AS (SELECT w.line, f.line AS other, f.first FROM w JOIN f USING (n) WHERE w.line = f.line OR (f.first < w.first AND levenshtein(w.line, f.line) <= 4)),
+g AS (SELECT *, CASE WHEN length(line) < length(other) THEN line ELSE other END AS a, CASE WHEN length(line) < length(other) THEN other ELSE line END AS b FROM c),
+h AS (SELECT *, CASE WHEN length(a) < length(b) THEN 1 ELSE 2 END AS skip FROM g),
+e AS (SELECT line, min(first) AS earliest FROM h WHERE list_bool_or(list_transform(range(0, length(a) + 1), lambda i: left(a, i) = left(b, i) AND substr(a, i + skip) = substr(b, i + 2))) GROUP BY line),
+k AS (SELECT o.doc_id, o.p, o.line, coalesce(e.earliest < (o.doc_id, o.p), false) AS gone FROM o LEFT JOIN e USING (line)),
+d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS text FROM k GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, d.text FROM documents LEFT JOIN d USING (doc_id)"""

@@ -17,4 +17,4 @@ QUERIES = {
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.ORACLE, "op8_url_filters": url_filters.oracle()}
+    return {"op4_quality_rules": quality_rules.ORACLE, "op8_url_filters": url_filters.oracle(), "op9_ngram_join": ngram_join.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
