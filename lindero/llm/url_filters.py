@@ -4,9 +4,9 @@ The regression is fitted in plain Python on ``labelled_urls``, a small table, wi
 Spark and any SQL engine give the very same verdict. Scoring uses DataFrame functions only and shuffles nothing; the
 weights travel as one constant array of ``BUCKETS`` numbers.
 
-Defined cases: a null url or one without ``://`` has an empty host and path, no rule, and is allowed. Rules fit the
-host and its subdomains; a url whose path is empty fits no rule with a path. Equal rows are judged alike, an empty
-table gives an empty table, other columns are ignored, whatever their names.
+Defined cases: a null url or one without ``://`` has an empty host and path, no rule and no n-grams: the regression's
+constant judges it. Rules fit the host and its subdomains; a url whose path is empty fits no rule with a path. Equal
+rows are judged alike, an empty table gives an empty table, other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -83,9 +83,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     codes = F.transform(F.split(F.concat(F.lit("^"), "host", "path", F.lit("$")), ""), lambda c: F.ascii(c))
     d = d.select("page_id", "host", "path", pick(lambda r: r[1] + r[2]).alias("rule"), pick(lambda r: r[0]).alias("_by_rule"), codes.alias("_c"))
     d = d.withColumn("_w", F.lit(list(weights)))
-    score = F.expr(f"aggregate(sequence(0, size(_c) - {GRAM}), 0L, (s, i) -> s + _w[(_c[i] * 961 + _c[i + 1] * 31 + _c[i + 2]) % {BUCKETS}]) + {bias}L * (size(_c) - {GRAM - 1})")
-    empty = (F.col("host") == "") & (F.col("path") == "")
-    verdict = F.when(F.col("_by_rule").isNotNull(), F.col("_by_rule")).when(empty, "allow").when(score > 0, "block").otherwise("allow")
+    score = F.expr(f"CASE WHEN size(_c) < {GRAM} THEN {bias}L ELSE aggregate(sequence(0, size(_c) - {GRAM}), 0L, (s, i) -> s + _w[(_c[i] * 961 + _c[i + 1] * 31 + _c[i + 2]) % {BUCKETS}]) + {bias}L * (size(_c) - {GRAM - 1}) END")
+    verdict = F.when(F.col("_by_rule").isNotNull(), F.col("_by_rule")).when(score > 0, "block").otherwise("allow")
     return d.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
 
@@ -102,6 +101,6 @@ WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, str
 h AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
              coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
 c AS (SELECT page_id, host, path, list_transform(string_split('^' || host || path || '$', ''), lambda c: unicode(c)) AS c, {list(weights)} AS w FROM h),
-s AS (SELECT *, list_sum(list_transform(range(1, len(c) - 1), lambda i: w[(c[i] * 961 + c[i+1] * 31 + c[i+2]) % {BUCKETS} + 1])) + {bias} * (len(c) - 2) AS z FROM c)
+s AS (SELECT *, list_sum(list_transform(range(1, len(c) - 1), lambda i: w[(c[i] * 961 + c[i+1] * 31 + c[i+2]) % {BUCKETS} + 1])) + {bias} * (len(c) - 2) AS y, CASE WHEN len(c) < {GRAM} THEN {bias} ELSE y END AS z FROM c)
 SELECT page_id, host, path, {when(lambda r: r[1] + r[2])} AS rule,
-       coalesce({when(lambda r: r[0])}, CASE WHEN host <> '' OR path <> '' THEN CASE WHEN z > 0 THEN 'block' ELSE 'allow' END ELSE 'allow' END) AS verdict FROM s"""
+       coalesce({when(lambda r: r[0])}, CASE WHEN z > 0 THEN 'block' ELSE 'allow' END) AS verdict FROM s"""
