@@ -7,7 +7,8 @@ each length go into one sequence), whose dual prices let a knapsack dynamic prog
 none improves it by more than ``gap``. Patterns are rounded down; the few rests left over are placed best-fit. Then
 every document's rest gets its rank among rests of its length, and the rank picks pattern copy and slot.
 The linear program runs in the driver on at most capacity / bin lengths; documents never go there. Ranks are counted
-in salted parts of each length, so a length that a third of all documents have is spread out.
+in ``SALTS`` parts of each length, dealt by row when the pieces are written, so a length that a third of all documents
+have is spread out, also where all of them are copies of one row.
 
 Defined cases: null or empty text: the end id alone. Null doc_id: kept. Equal rows: packed each. Empty table: no
 rows. Other columns are ignored, whatever their names.
@@ -24,16 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import TOKEN_ROWS, bounded_batches, materialize, table
+from .common import bounded_batches, materialize, table
 from .token_ids import byte_level
 
 CAPACITY = 1024
 BIN = 2
+SALTS = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    bounded_batches(docs.sparkSession, TOKEN_ROWS)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, end, step = byte_level(tokenizer), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
@@ -131,7 +133,7 @@ def solve(sizes: list[int], demand: list[int], capacity: int, gap: float = 1e-3)
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY, bin: int = BIN) -> DataFrame:
-    """Adds sequence_id and offset to pieces (which must be a written table: it is read three times)."""
+    """Adds sequence_id and offset to pieces with a ``_salt`` (a written table, read three times: see ``salted``)."""
     spark = rows.sparkSession
     whole = -(-capacity // bin)
     rows = rows.withColumn("_bin", F.least(F.ceil(F.col("length") / bin), F.lit(whole)).cast("int"))
@@ -148,9 +150,6 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, bin: int = BIN) -> DataFrame
     schema = "_bin int, _lo long, _hi long, _k long, _base long"
     slots_df = F.broadcast(spark.createDataFrame(slots, schema))  # at most a few times (capacity / bin) patterns
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.xxhash64("doc_id", "start", "ids_crc32")
-    rows = rows.withColumn("_salt", F.pmod(key, F.lit(4 * parts)).cast("int"))
     sums = rows.groupBy("_bin", "_salt").count()
     before = sums.withColumn("_before", F.sum("count").over(Window.partitionBy("_bin").orderBy("_salt")) - F.col("count")).drop("count")
     within = Window.partitionBy("_bin", "_salt").orderBy("doc_id", "start", "ids_crc32")
@@ -164,10 +163,15 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, bin: int = BIN) -> DataFrame
     return placed.withColumn("offset", offset).select(*[F.col(f"r.{c}") for c in rows.columns if c[0] != "_"], "sequence_id", "offset")
 
 
+def salted(rows: DataFrame) -> DataFrame:
+    """Pieces as a written table, each row in one of ``SALTS`` parts whatever it holds."""
+    return materialize(rows.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
-    return pack(materialize(pieces(docs, tokenizer or public_tokenizers.path("byte_bpe_50k.json"))))
+    return pack(salted(pieces(docs, tokenizer or public_tokenizers.path("byte_bpe_50k.json"))))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 The encoder is a score-ordered agenda of adjacent symbol pairs: the best pair is merged, its new neighbours join the
 agenda, until no adjacent pair is a piece. A piece of the vocabulary never continues over a space mark that follows
 another character, so a text is cut there without changing the result (checked when a model is loaded); each distinct
-chunk is encoded once per worker. In every Arrow batch all new chunks are checked against the sentencepiece library.
+chunk is encoded once per worker. In every Arrow batch all new chunks, ids and decoded text alike, are checked against
+the sentencepiece library, and one whole text of the batch (the longest of up to ``CHECKED`` characters) besides.
 
 Defined cases: a null or empty text has no tokens and decodes to ''. Repeated rows give repeated results. An empty
 table gives an empty table. Other columns of the input are ignored, whatever their names.
@@ -22,9 +23,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TOKEN_ROWS, ChunkCache, bounded_batches, chunks_of, marked, table
+from .common import ChunkCache, bounded_batches, chunks_of, marked, table
 
 MARK = "▁"
+CHECKED = 20_000
 _LETTER = regex.compile(r"[\p{L}\p{Nd}\p{M}]")
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -112,10 +114,21 @@ class Codec:
         marked = [MARK + c[1:] if c[:1] == " " else c for c in chunks]
         own = [self.agenda(c) for c in marked]
         lib = self.lib.encode([c[1:] if c[:1] == MARK else "\n" + c for c in marked], num_threads=1)
-        for c, a, b in zip(marked, own, lib):
-            if a != (b if c[:1] == MARK else b[2:]) and c != MARK and c:
+        texts = self.lib.decode(own)
+        out = []
+        for c, a, b, t in zip(marked, own, lib, texts):
+            text = self.decode(a)
+            # the library drops the mark that it sets before a text; a mark alone is what that leaves of one space
+            if c and (a != (b if c[:1] == MARK else b[2:]) and c != MARK or t != (text[1:] if c[:1] == MARK else text)):
                 raise AssertionError(f"differs from the library: {c!r}")
-        return [("".join([f"{i}," for i in a]).encode(), self.decode(a).encode()) for a in own]
+            out.append(("".join([f"{i}," for i in a]).encode(), text.encode()))
+        return out
+
+    def check(self, text: str, joined: bytes, decoded: bytes) -> None:
+        """The ids of a whole text, across its chunks, and what they decode to, against the library."""
+        ids = self.lib.encode(text)
+        if joined != ",".join(map(str, ids)).encode() or decoded != self.lib.decode(ids).encode():
+            raise AssertionError(f"differs from the library: {text[:200]!r}")
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Per text: its ids in decimal, joined by commas; what they decode to."""
@@ -135,13 +148,17 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, model: str, ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and digests per document; with ``ids`` also the ids and the decoded text."""
-    bounded_batches(docs.sparkSession, TOKEN_ROWS)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(model)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for joined, text in code(b.column(1).to_pylist()):
+            texts = b.column(1).to_pylist()
+            checked = max((i for i, t in enumerate(texts) if len(t) <= CHECKED), key=lambda i: len(texts[i]), default=-1)
+            for i, (joined, text) in enumerate(code(texts)):
+                if i == checked:
+                    code.check(texts[i], joined, text)
                 out[0].append(joined.count(b",") + 1 if joined else 0)
                 out[1].append(hashlib.sha256(joined).hexdigest())
                 out[2].append(hashlib.sha256(text).hexdigest())

@@ -1,7 +1,9 @@
 """Exact ids of the installed ``tokenizers`` vocabularies, by chunks.
 
-Neither vocabulary has a token that continues over a place where ``common.cut`` cuts, so every chunk's ids may be kept
-in a bounded cache. Texts that can't be cut so are given to the library whole (byte-level) or cut at spaces alone.
+Where a vocabulary has no token that continues over a place where ``common.cut`` cuts, every chunk's ids may be kept in a
+bounded cache. That, and that ids rise in the order of merges where ``tiktoken`` merges, is checked when a file is
+opened; where it doesn't hold, the library encodes. Texts that can't be cut go to it whole (byte-level) or are cut at
+spaces alone.
 """
 
 from __future__ import annotations
@@ -34,6 +36,17 @@ def _flat(ids: list[list[int]]) -> list[bytes]:
     return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
+#: What no token may hold if texts are cut as ``common.marked`` does: more than white space before a space or beside a line
+#: end, or a stop or comma at its end after a word.
+_OVER = re.compile(r"[^\s] |[^\s]\n|\n[^\s]|[^\W_][.,]$")
+
+
+def _merges(lib, vocab: dict[str, int]) -> list[int]:
+    """The id that each merge makes, in the order of merges."""
+    merges = json.loads(lib.to_str())["model"]["merges"]
+    return [vocab[a + b] for a, b in (m.split(" ") if isinstance(m, str) else m for m in merges)]
+
+
 class ByteLevelIds:
     """Ids where a space belongs to the word after it. New chunks are merged by ``tiktoken`` with the ranks of the
     ``tokenizers`` file itself, four times as fast; chunks with a special token's string go to ``tokenizers``."""
@@ -46,7 +59,10 @@ class ByteLevelIds:
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         letters = _bytes_of_letters()
-        ranks = {bytes(letters[c] for c in t): i for t, i in self.lib.get_vocab().items() if t not in self.special}
+        vocab = self.lib.get_vocab()
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in self.special}
+        made = _merges(self.lib, vocab)
+        self.cuts = all(a < b for a, b in zip(made, made[1:])) and not any(_OVER.search(t.decode("utf-8", "replace")) for t in ranks)
         self.core = tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.cache = ChunkCache(self._fill)
 
@@ -60,7 +76,7 @@ class ByteLevelIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
-        parts = [None if any(s in t for s in self.special) else marked(t) for t in texts]
+        parts = [None if not self.cuts or any(s in t for s in self.special) else marked(t) for t in texts]
         found = iter(self.cache.joined(chunks_of([p for p in parts if p is not None]))[0])
         return [self._whole(t) if p is None else next(found) for t, p in zip(texts, parts)]
 
@@ -106,8 +122,7 @@ class WordLevelIds:
         import tiktoken
 
         vocab = self.lib.get_vocab()
-        merges = [m.split(" ") if isinstance(m, str) else m for m in json.loads(self.lib.to_str())["model"]["merges"]]
-        made = [vocab[a + b] for a, b in merges]
+        made = _merges(self.lib, vocab)
         if any(a >= b for a, b in zip(made, made[1:])):
             return None
         letters, ranks = _bytes_of_letters(), {}
