@@ -14,25 +14,31 @@ from lindero.llm.common import materialize, table
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps. Null and empty texts are judged too, by what is known of them; equal rows
+    alike. Where ``labels`` don't hold both verdicts, all stay. An empty table gives an empty table."""
     return cotraining.keep(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier line repeats; emptied documents stay, with an empty text."""
+    """Documents without lines that an earlier line repeats. All rows stay: emptied ones with an empty text, null texts null.
+    Equal rows lose the same lines. n_chars is counted anew."""
     out = line_dedup.dedup(docs).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, 0.8) the document with the smallest id, once. Rows of one id and text are
-    one document. A row without an id goes by its text, after all ids; without id and text it is a document of its own."""
+    """Of each group of near copies (five words, 0.8) one document, that with the smallest id, once.
+
+    Defined cases: rows are told apart by id and text. So of rows with one id and one text one stays; of rows with one id
+    and different texts each is judged by its own text, and a text that is no copy stays whatever its id's other rows
+    are. A row without an id goes by its text, after all ids. Rows with an empty or null text are no copies of each other:
+    with an id one stays for each id and text, without one all stay. An empty table gives an empty table."""
     by_text = F.expr(f"{1 << 62} + (xxhash64(text) & {(1 << 62) - 1})")
     blank = F.col("doc_id").isNull() & (F.trim(F.coalesce("text", F.lit(""))) == "")
-    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
-    found = ngram_join.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text"))
-    copies = materialize(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct())
-    kept = named.join(copies, "__id", "left_anti").withColumns({"__t": F.xxhash64("text"), "__b": blank})
+    named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), by_text), "__t": F.xxhash64("text"), "__b": blank})
+    found = ngram_join.near_rows(named.select(F.col("__id").alias("doc_id"), "text"))
+    copies = materialize(found.where("NOT is_first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")))
+    kept = named.join(copies, ["__id", "__t"], "left_anti")
     # only rows that are there more than once are shuffled with their texts
     key = ["__id", "__t", "__b"]
     twice = materialize(kept.where("NOT __b").groupBy(*key).count().where("count > 1").drop("count"))
@@ -41,12 +47,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
+    """All documents, secrets replaced by a mark. Null and empty texts stay as they are, equal rows equal. n_chars is counted
+    anew."""
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their sequences."""
+    """Pieces of all documents with their sequences. Null and empty texts are an end id each, equal rows are packed each; no
+    rows give no pieces."""
     return packing.pack_documents(docs)
 
 
