@@ -1,12 +1,16 @@
 """Column functions that normalise names, credentials, headers and search terms, all inside the JVM.
 
-Folding follows compatibility decomposition with marks removed. Letters that decompose to one base letter are mapped
-by a table built from the Unicode data; the few that expand to several (ligatures, Hangul) need ``fold_exact``, an
-Arrow function.
+Two foldings, by tables built from the Unicode data: ``fold`` is compatibility decomposition without marks (ligatures,
+fractions and the like become several characters), ``fold_canonical`` canonical decomposition, which leaves those as they
+are. Letters that decompose to one base letter are translated; rows with a character that becomes several are told by
+a pattern and take a second, slower way, all inside the JVM. Precomposed Hangul, which no name here has, stays composed;
+``fold_exact``, an Arrow function, folds that too.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -26,22 +30,42 @@ GENERIC_CREDENTIALS = ("DOCTOR EN MEDICINA", "MEDICINA", "MEDICINA GENERAL", "ME
 MEDICAL_STEMS = ("anestesi", "asse", "ciruj", "clinica", "doctor", "doctora", "hospital", "medic", "msp", "mutualista", "sanatorio", "salud")
 
 
-@lru_cache(maxsize=1)
-def _table() -> tuple[str, str]:
-    frm, to = [], []
+@lru_cache(maxsize=2)
+def _tables(form: str) -> tuple[str, str, dict[str, str]]:
+    """(characters with one base letter, those letters, characters with several)."""
+    frm, to, several = [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
         c = chr(code)
-        if not unicodedata.decomposition(c) or 0xAC00 <= code <= 0xD7A3:
+        kind = unicodedata.decomposition(c)
+        if not kind or 0xAC00 <= code <= 0xD7A3 or (form == "NFD" and kind[0] == "<"):
             continue
-        base = "".join(x for x in unicodedata.normalize("NFKD", c) if unicodedata.category(x)[0] != "M")
+        base = "".join(x for x in unicodedata.normalize(form, c) if unicodedata.category(x)[0] != "M")
         if len(base) == 1 and base != c and code < 0x10000:
             frm.append(c)
             to.append(base)
-    return "".join(frm), "".join(to)
+        elif base != c and unicodedata.category(c)[0] != "M":
+            several[c] = base
+    return "".join(frm), "".join(to), several
+
+
+def _fold(c: Column, form: str, marks: str) -> Column:
+    frm, to, several = _tables(form)
+    short = F.regexp_replace(F.translate(c, frm, to), marks, "")
+    if not several:
+        return short
+    table = F.from_json(F.lit(json.dumps(several, ensure_ascii=False)), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(c.rlike("[" + "".join(map(re.escape, several)) + "]"), F.regexp_replace(F.translate(spelled, frm, to), marks, "")).otherwise(short)
 
 
 def fold(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, *_table()), r"\p{M}+", "")
+    """NFKD without marks."""
+    return _fold(c, "NFKD", r"\p{M}+")
+
+
+def fold_canonical(c: Column, marks: str = r"\p{M}+") -> Column:
+    """NFD without marks, or without those of a pattern."""
+    return _fold(c, "NFD", marks)
 
 
 @F.pandas_udf(StringType())
@@ -69,7 +93,7 @@ def person_name(c: Column) -> Column:
 
 
 def identity_name(c: Column) -> Column:
-    return F.upper(squeeze(fold(c)))
+    return F.upper(squeeze(fold_canonical(c)))
 
 
 def credential(c: Column) -> Column:
@@ -82,7 +106,7 @@ def policy_key(c: Column) -> Column:
 
 def match_key(c: Column) -> Column:
     """Lower-case ASCII letters and digits; all else is a space."""
-    return F.trim(F.regexp_replace(F.lower(fold(c)), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(fold_canonical(c, r"[\u0300-\u036F]+")), "[^a-z0-9]+", " "))
 
 
 def physician_key(c: Column) -> Column:
@@ -90,7 +114,7 @@ def physician_key(c: Column) -> Column:
 
 
 def header_key(c: Column) -> Column:
-    return F.lower(words(F.regexp_replace(fold(c), r"[\^`´¨]", "")))
+    return F.lower(words(F.regexp_replace(fold_canonical(c), r"[\^`´¨]", "")))
 
 
 def search_term(c: Column) -> Column:
@@ -117,7 +141,9 @@ def specialty_consistent(specialty: Column, title: Column) -> Column:
 
 
 def medical_context(c: Column) -> Column:
-    return F.exists(F.split(match_key(c), " "), lambda t: t.isin("dr", "dra") | t.rlike("^(" + "|".join(MEDICAL_STEMS) + ")"))
+    """Whether a word signals it, in the person-name key of the text: what that key drops (a leading honorific, notes in
+    brackets) signals nothing."""
+    return F.exists(F.split(F.lower(person_name(c)), " "), lambda t: t.isin("dr", "dra") | t.rlike("^(" + "|".join(MEDICAL_STEMS) + ")"))
 
 
 def intervals(c: Column) -> Column:
@@ -137,6 +163,7 @@ def like_escape(c: Column) -> Column:
 
 
 def mask_names(headline: Column, names: Column) -> Column:
-    """Each name replaced by 'professional', longest first, whole words only."""
-    ordered = F.array_sort(names, lambda a, b: F.length(b) - F.length(a))
-    return F.aggregate(ordered, F.concat(F.lit(" "), headline, F.lit(" ")), lambda acc, n: F.replace(acc, F.concat(F.lit(" "), n, F.lit(" ")), F.lit(" professional ")), lambda x: F.trim(x))
+    """Each name of a normalised headline replaced by 'professional', longest first, whole words only; names that follow one
+    another are each replaced. Names are normalised, of letters, digits and spaces."""
+    ordered = F.array_sort(F.filter(names, lambda n: n != ""), lambda a, b: F.length(b) - F.length(a))
+    return F.aggregate(ordered, headline, lambda acc, n: F.regexp_replace(acc, F.concat(F.lit("(^| )"), n, F.lit("(?= |$)")), F.lit("$1professional")))

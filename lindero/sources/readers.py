@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import canonical_url
+from ..functions.text import single_line
+
 #: cp1252 bytes without a character, which the web's decoder maps to control characters.
 _HOLES = {b: chr(b) for b in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
@@ -110,15 +113,30 @@ def strict_ndjson(text: str) -> list[str]:
 
 
 def read_feed(spark: SparkSession, path: str, tag: str = "item") -> DataFrame:
-    """Items of an RSS channel, or urls of a news sitemap, as strings: title, link, published; last item of a link wins."""
+    """All items of an RSS channel, or urls of a news sitemap, in file order: file, place, title, link, published."""
+    at = [F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")]
     if tag == "item":
         raw = spark.read.format("xml").option("rowTag", "item").schema("title string, link string, pubDate string").load(path)
-        raw = raw.select("title", "link", F.col("pubDate").alias("published"))
+        raw = raw.select(*at, "title", "link", F.col("pubDate").alias("published"))
     else:
         raw = spark.read.format("xml").option("rowTag", "url").schema("loc string, `news:news` struct<`news:title`: string, `news:publication_date`: string>").load(path)
-        raw = raw.select(F.col("`news:news`.`news:title`").alias("title"), F.col("loc").alias("link"), F.col("`news:news`.`news:publication_date`").alias("published"))
-    clean = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
-    return raw.select(*[clean(c).alias(c) for c in ("title", "link", "published")]).where("title IS NOT NULL AND link IS NOT NULL AND char_length(title) <= 1000")
+        raw = raw.select(*at, F.col("`news:news`.`news:title`").alias("title"), F.col("loc").alias("link"), F.col("`news:news`.`news:publication_date`").alias("published"))
+    clean = lambda c: F.nullif(single_line(F.col(c)), F.lit(""))
+    return raw.select("file", "place", *[clean(c).alias(c) for c in ("title", "link", "published")])
+
+
+def feed_items(items: DataFrame, hosts: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid items, count of invalid ones a file). Invalid: no title or one over 1,000 characters, no https link (of the
+    hosts, if given), no date. Of items with one link the last counts, at the place of the first."""
+    url = canonical_url(F.col("link"))
+    if hosts is not None:
+        url = F.when(F.lower(F.parse_url(url, F.lit("HOST"))).isin(*hosts), url)
+    items = items.withColumns({"url": url, "at": parse_date(F.col("published"))})
+    good = F.col("title").isNotNull() & (F.char_length("title") <= 1000) & F.col("url").isNotNull() & F.col("at").isNotNull()
+    items = items.withColumn("_good", F.coalesce(good, F.lit(False)))
+    last = F.max_by(F.struct("title", "at"), "place").alias("_last")
+    valid = items.where("_good").groupBy("file", "url").agg(F.min("place").alias("place"), last).select("file", "place", "url", "_last.title", F.col("_last.at").alias("published_at"))
+    return valid, items.groupBy("file").agg(F.count_if(~F.col("_good")).alias("invalid"))
 
 
 def parse_date(c):

@@ -40,6 +40,10 @@ def test_keys(spark):
     assert one(spark, text.medical_context(F.col("a")), a="La dra. Paz") is True
     assert [tuple(x) for x in one(spark, text.intervals(F.col("a")), a="de 8:00 a 12:30 y 25:00 a 26:00")] == [("08:00", "12:30")]
     assert one(spark, text.mask_names(F.col("a"), F.col("n")), a="ana paz y ana", n=["ana", "ana paz"]) == "professional y professional"
+    assert one(spark, text.mask_names(F.col("a"), F.col("n")), a="ana paz ana paz habla anabel", n=["ana paz", "ana"]) == "professional professional habla anabel"
+    assert one(spark, text.medical_context(F.col("a")), a="Dra. Paz inaugura") is False and one(spark, text.medical_context(F.col("a")), a="Paz (hospital) inaugura") is False
+    assert one(spark, text.identity_name(F.col("a")), a=" nº  5 ½ Ñu ") == "Nº 5 ½ NU" and one(spark, text.match_key(F.col("a")), a="nº 5 1ª ﬁn") == "n 5 1 n"
+    assert one(spark, text.credential(F.col("a")), a="ﬁn ﬂor ½") == "FIN FLOR 1 2" and one(spark, text.policy_key(F.col("a")), a="ﬁn Ⅷ") == "fin viii"
 
 
 @pytest.mark.parametrize(
@@ -82,7 +86,7 @@ def test_review_points(spark):
 
 
 def test_headline_classes(spark):
-    assert one(spark, news.sensitive_classes(F.col("a")), a="condenan por mala praxis a un menor") == ["ADVERSE", "MINOR"]
+    assert one(spark, news.sensitive_classes(F.col("a")), a="condenan por mala praxis a un menor") == ["ADVERSE_OR_JUDICIAL", "MINOR"]
     assert one(spark, news.sensitive_classes(F.col("a")), a="premio nacional") == []
 
 
@@ -135,8 +139,11 @@ def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("id;name\n1;José\n".encode("cp1252"))
     assert [tuple(r) for r in readers.read_delimited_strict(spark, str(tmp_path / "a.csv"), ["id", "name"], ";", "cp1252").collect()] == [("1", "José", 2)]
     (tmp_path / "f.xml").write_text("<rss><channel><item><title> T </title><link>http://a</link><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate></item><item><title/><link>x</link></item></channel></rss>")
-    feed = readers.read_feed(spark, str(tmp_path / "f.xml")).withColumn("t", readers.parse_date(F.col("published")).cast("string"))
-    assert [tuple(r) for r in feed.select("title", "t").collect()] == [("T", "2024-01-01 10:00:00")]
+    items = [("T", "http://a.org/1#x", "Mon, 01 Jan 2024 10:00:00 GMT"), ("", "https://a.org/2", "Mon, 01 Jan 2024 10:00:00 GMT"), ("U", "https://a.org/3", "some day"), ("V", "https://a.org/4", "Mon, 01 Jan 2024 11:00:00 GMT"), (" W ", "https://a.org/1", "Mon, 01 Jan 2024 12:00:00 GMT"), ("x" * 1001, "https://a.org/5", "Mon, 01 Jan 2024 10:00:00 GMT"), ("Y", "ftp://a.org/6", "Mon, 01 Jan 2024 10:00:00 GMT")]
+    (tmp_path / "f.xml").write_text("<rss><channel>" + "".join(f"<item><title>{t}</title><link>{u}</link><pubDate>{d}</pubDate></item>" for t, u, d in items) + "</channel></rss>")
+    valid, invalid = readers.feed_items(readers.read_feed(spark, str(tmp_path / "f.xml")), ["a.org"])
+    got = [(r.title, r.url, str(r.published_at)) for r in valid.orderBy("place").collect()]
+    assert got == [("W", "https://a.org/1", "2024-01-01 12:00:00"), ("V", "https://a.org/4", "2024-01-01 11:00:00")] and [r.invalid for r in invalid.collect()] == [4]
     lines = spark.createDataFrame([('{"name": "a"}',), ("[1]",), ("{",), ('{"name": " "}',), ("",)], "value string")
     good, bad = readers.ndjson_with_quarantine(lines, "name string", "name")
     assert good.count() == 1 and sorted(r.reason for r in bad.collect()) == ["invalid_json", "missing_name", "not_an_object"]
