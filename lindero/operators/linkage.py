@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Statuses, and the reason why each abstains.
 STATUSES = ("unmatched", "ambiguous_exact_name", "exact_name_and_title_consistent", "exact_name_only")
+REASONS = ("NO_MSP_CANDIDATE", "MULTIPLE_MSP_CANDIDATES", "HUMAN_REVIEW_REQUIRED", "TITLE_NOT_CORROBORATED")
 
 
 def first_of(*columns: str) -> Column:
@@ -31,7 +33,7 @@ def link(identities: DataFrame, registry: DataFrame) -> DataFrame:
 
 def abstain(candidates: DataFrame) -> DataFrame:
     """Every resolution abstains and stays private; the reason follows from the status."""
-    reason = F.create_map(*[x for s, r in zip(STATUSES, ("NO_REGISTRY_MATCH", "AMBIGUOUS_NAME", "NAME_AND_TITLE_NEED_REVIEW", "NAME_ONLY_NEEDS_REVIEW")) for x in (F.lit(s), F.lit(r))])
+    reason = F.create_map(*[x for s, r in zip(STATUSES, REASONS) for x in (F.lit(s), F.lit(r))])
     return candidates.withColumns({"resolution": F.lit("ABSTAINED"), "reason": reason[F.col("status")], "visibility": F.lit("not_public")})
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import mask_names, person_name, policy_key
+from .dedupe import keep_first
+
 # Word beginnings and phrases by which a headline is restricted.
 ADVERSE_STEMS = (
     "absolv", "abus", "archiv", "arrest", "acus", "caso", "conden", "culp", "delit", "demand", "denunci", "deten", "estafa", "fallec", "fallo", "fiscal", "formaliz", "homicid", "indemn", "inhabil",
@@ -27,9 +30,22 @@ SPECIALTY_STEMS = (
     "ANESTES", "CARDIOL", "CIRU", "DERMATOL", "ENDOCRINOL", "GASTROENTEROL", "GERIATR", "GINECOL", "HEMATOL", "INFECTOL", "NEFROL", "NEUMOL", "NEUROL", "OFTALMOL", "ONCOL", "OTORRINOLARINGOL", "PSIQUIATR",
     "REUMATOL", "TRAUMATOL", "UROL",
 )
+# Roles, and the closed forms that a whole masked headline may have to be clearly benign.
+ROLE = (
+    "(?:anestesiolog[oa]|anestesista|cardiolog[oa]|cirujan[oa]|dermatolog[oa]|endocrinolog[oa]|fisiatra|gastroenterolog[oa]|geriatra|ginecolog[oa]|hematolog[oa]|infectolog[oa]|internista|nefrolog[oa]|neumolog[oa]"
+    "|neurolog[oa]|oftalmolog[oa]|oncolog[oa]|otorrinolaringolog[oa]|psiquiatra|reumatolog[oa]|traumatolog[oa]|urolog[oa])"
+)
+BENIGN = (
+    "(?:recibio|recibieron|obtuvo|obtuvieron|gano|ganaron) (?:un|el) (?:premio|reconocimiento)(?: (?:academico|academica|cientifico|cientifica|institucional|nacional|internacional))?",
+    "(?:asumio|asumieron) (?:un|el) cargo (?:academico|academica|docente|institucional)",
+    "(?:presento|presentaron) (?:un|el) proyecto (?:academico|academica|cientifico|cientifica|universitario|universitaria|institucional)(?: vigente)?",
+    "(?:participo|participaron) en (?:un|el) (?:congreso|seminario|evento academico|evento cientifico|jornada academica|jornada cientifica)",
+    "(?:fue|fueron) (?:designado|designada|designados|designadas|nombrado|nombrada|nombrados|nombradas|reconocido|reconocida|reconocidos|reconocidas) (?:en|para) (?:un|el) cargo (?:academico|academica|docente|institucional)",
+)
+NOT_BENIGN = "NOT_CLEARLY_BENIGN_PUBLIC_CONTEXT"
 CEILING = 49
 FAN_OUT_CAP = 25
-CLASSES = (("ADVERSE", ADVERSE_STEMS, ADVERSE_PHRASES), ("MINOR", MINOR_STEMS, MINOR_PHRASES), ("PRIVATE_HEALTH", HEALTH_STEMS, HEALTH_PHRASES))
+CLASSES = (("ADVERSE_OR_JUDICIAL", ADVERSE_STEMS, ADVERSE_PHRASES), ("MINOR", MINOR_STEMS, MINOR_PHRASES), ("PRIVATE_HEALTH", HEALTH_STEMS, HEALTH_PHRASES))
 
 
 def sensitive_classes(key: Column, classes=CLASSES) -> Column:
@@ -45,6 +61,23 @@ def sensitive_classes(key: Column, classes=CLASSES) -> Column:
     return F.filter(F.array(*[F.when(hit(s, p), F.lit(n)) for n, s, p in classes]), lambda x: x.isNotNull())
 
 
+def closed_benign(key: Column, names: Column) -> Column:
+    """Whether a normalised headline, its names masked, has one of the closed forms as a whole, with as many masks as names."""
+    one = rf"(?:(?:el|la) )?(?:(?:dr|dra|doctor|doctora|{ROLE}) )?professional"
+    subject = rf"{one}(?: y {one}){{0,3}}"
+    masked = mask_names(key, names)
+    count = F.size(F.filter(F.split(masked, " "), lambda w: w == "professional"))
+    return (F.size(names) > 0) & (count == F.size(names)) & masked.rlike(f"^{subject} (?:" + "|".join(BENIGN) + ")$")
+
+
+def headline_reasons(headline: Column, names: Column, classes=CLASSES) -> Column:
+    """Why a headline is restricted, in order; none only for a closed benign form around the names found in it. ``names`` are
+    the mentions as they stand."""
+    found = sensitive_classes(policy_key(headline), classes)
+    lower = F.transform(names, lambda n: F.lower(person_name(n)))
+    return F.when((F.size(found) > 0) | closed_benign(policy_key(headline), lower), found).otherwise(F.array(F.lit(NOT_BENIGN)))
+
+
 def context_token_match(a: Column, b: Column) -> Column:
     """Equal words, one specialty stem at the start of both, or six equal first letters of two words that have so many."""
     same = (a == b) | ((F.char_length(a) >= 6) & (F.char_length(b) >= 6) & (F.left(a, F.lit(6)) == F.left(b, F.lit(6))))
@@ -98,6 +131,36 @@ def alert_severity(kind: Column, ambiguous: Column, corroborated: Column) -> Col
     return F.when((kind == "INITIALS_TOKEN_SUBSEQUENCE") | ambiguous | (partial & ~corroborated), "CRITICAL").when(partial, "HIGH").otherwise("WARNING")
 
 
+# Alert codes.
+def alert_codes(kind: Column, ambiguous: Column, corroborated: Column) -> Column:
+    """Codes of a match's alert, in order."""
+    flexible, initials = kind != "EXACT_NORMALIZED_NAME", kind == "INITIALS_TOKEN_SUBSEQUENCE"
+    codes = [F.lit("POSSIBLE_IDENTITY_MATCH_NOT_CONFIRMED"), F.lit("HUMAN_REVIEW_REQUIRED"), F.lit("NAME_MATCH_IS_NOT_IDENTITY_PROOF")]
+    codes += [F.when(flexible, "FLEXIBLE_MATCH_HIGH_FALSE_POSITIVE_RISK"), F.when(initials, "INITIALS_MATCH_VERY_HIGH_FALSE_POSITIVE_RISK")]
+    codes += [F.when(corroborated, "CONTEXTUAL_SIGNAL_IS_NOT_IDENTITY_PROOF").otherwise("NO_CONTEXTUAL_CORROBORATION"), F.when(ambiguous, "MULTIPLE_POSSIBLE_IDENTITIES")]
+    return F.filter(F.array(*codes), lambda x: x.isNotNull())
+
+
+def strongest(candidates: DataFrame, key: list[str]) -> DataFrame:
+    """The best candidate of each key (a professional and an article): least flexibility, then most context dimensions, most
+    points, first mention. Columns: flexibility, n_context, points, mention."""
+    return keep_first(candidates, key, ["flexibility", F.col("n_context").desc(), F.col("points").desc(), "mention"])
+
+
+def candidate_counters(candidates: DataFrame, articles: DataFrame) -> DataFrame:
+    """One row of counters. candidates: article_id, kind, n_context, severity, ambiguity; articles: article_id, n_names. Both are
+    aggregated on their own, so an article without candidates counts too."""
+    kind = lambda k: F.count_if(F.col("kind") == k)
+    c = candidates.agg(
+        F.count(F.lit(1)).alias("candidates"), F.count_distinct("article_id").alias("articles_with_candidates"), kind("EXACT_NORMALIZED_NAME").alias("exact_candidates"), kind("PARTIAL_TOKEN_SUBSET").alias("partial_candidates"),
+        kind("INITIALS_TOKEN_SUBSEQUENCE").alias("initials_candidates"), F.count_if(F.col("n_context") > 0).alias("context_corroborated"), F.count_if(F.col("severity") == "CRITICAL").alias("critical_alerts"),
+        F.count_if(F.col("ambiguity") == "HOMONYM").alias("homonym_candidates"), F.count_if(F.col("ambiguity") != "NONE").alias("ambiguous_candidates"),
+    )
+    a = articles.agg(F.count(F.lit(1)).alias("articles"), F.coalesce(F.sum("n_names"), F.lit(0)).alias("mentions"))
+    return c.crossJoin(a).withColumn("articles_without_candidates", F.col("articles") - F.col("articles_with_candidates"))  # one row each
+
+
+# Reason codes.
 def match_reasons(kind: Column, homonym: Column, several: Column, medical: Column, profession: Column, institution: Column) -> Column:
     """Reason codes in fixed order; the last always says that no second identifier exists."""
     context = profession | institution
