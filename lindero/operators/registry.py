@@ -25,6 +25,16 @@ def titles(rows: DataFrame, document: str, fields: list[str]) -> DataFrame:
     return got.withColumn("titles", F.transform("titles", lambda t: F.struct(*[F.nullif(t[f], F.lit("")).alias(f) for f in fields])))
 
 
+def collated_titles(rows: DataFrame, document: str, title: str, kind: str, locale: str = "es") -> DataFrame:
+    """Distinct titles, and distinct pairs of title and kind, of each document, in the locale's order."""
+    pair = F.struct(title, kind)
+    order = lambda a, b: F.when(a < b, -1).when(a > b, 1).otherwise(0)
+    by = lambda x: F.collate(x, locale)
+    got = rows.groupBy(document).agg(F.collect_set(title).alias("titles"), F.collect_set(pair).alias("pairs"))
+    pairs = F.array_sort("pairs", lambda a, b: F.when(by(a[title]) == by(b[title]), order(a[kind], b[kind])).otherwise(order(by(a[title]), by(b[title]))))
+    return got.select(document, F.array_sort("titles", lambda a, b: order(by(a), by(b))).alias("titles"), pairs.alias("pairs"))
+
+
 def gate(n_quarantined: int, expected: int) -> None:
     if n_quarantined != expected:
         raise ValueError(f"{n_quarantined} identity conflicts, expected {expected}")

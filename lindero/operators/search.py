@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import decode_cursor, encode_cursor
+from ..functions.text import search_term
 
 
 def check_bounds(limit: int = 20, query: str | None = None) -> str | None:
@@ -23,6 +24,19 @@ def contains_term(column: Column, term: str) -> Column:
     return F.contains(F.lower(column), F.lit(term.lower()))
 
 
+def contains_folded(column: Column, term: str) -> Column:
+    """Substring of a text, both folded as search terms are. A column that is stored folded needs ``contains_term`` alone."""
+    return F.contains(search_term(column), search_term(F.lit(term)))
+
+
+def check_id(value: str) -> str:
+    """An id or slug of 1 to 200 characters."""
+    value = value.strip()
+    if not 1 <= len(value) <= 200:
+        raise ValueError("an id has 1 to 200 characters")
+    return value
+
+
 def after(name: str, public_id: str, at: tuple) -> Column:
     return (F.col(name) > F.lit(at[0])) | ((F.col(name) == F.lit(at[0])) & (F.col(public_id) > F.lit(at[1])))
 
@@ -34,9 +48,9 @@ def keyset_page(df: DataFrame, name: str, public_id: str, limit: int, at: tuple
 
 
 def search(df: DataFrame, name: str, public_id: str, limit: int = 20, query: str | None = None, cursor: str | None = None) -> tuple[list, str | None]:
-    """(rows, next cursor) of one page."""
+    """(rows, next cursor) of one page of ``df``, whose names are stored folded."""
     query = check_bounds(limit, query)
-    rows = df.where(contains_term(F.col(name), query)) if query else df
+    rows = df.where(F.contains(F.col(name), search_term(F.lit(query)))) if query else df
     found = keyset_page(rows, name, public_id, limit, decode_cursor(cursor) if cursor else None).collect()
     more = len(found) > limit
     found = found[:limit]
@@ -45,6 +59,7 @@ def search(df: DataFrame, name: str, public_id: str, limit: int = 20, query: str
 
 def by_id_or_slug(people: DataFrame, routes: DataFrame, key: str, wanted: str) -> DataFrame:
     """One plan for both kinds of address: an id, or any slug, old ones too, lead to the current row."""
+    wanted = check_id(wanted)
     hit = routes.where((F.col("slug") == wanted.lower()) | (F.col(key) == wanted)).select(key).distinct()
     current = routes.where(F.col("route_kind") == "CURRENT").select(key, F.col("slug").alias("current_slug"))
     return people.join(hit, key, "left_semi").join(current, key).limit(1)
