@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, names, text
-from ..operators import dedupe, linkage, news, publication, registry, search
+from ..operators import dedupe, directory, linkage, news, publication, registry, search
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -64,13 +64,14 @@ def token_multiset(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", text.token_multiset(text.person_name(F.col("p_name"))).alias("name_key"))
 
 
-@query("""WITH q AS (SELECT DISTINCT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000),
-r AS (SELECT c.* FROM customer c SEMI JOIN q USING (c_nationkey)), g AS (SELECT c_nationkey, c_mktsegment, min(c_name) AS n FROM r GROUP BY ALL)
-SELECT c_nationkey, array_to_string(list_sort(list(n)), '|') AS names, count(*)::BIGINT AS n_names, count(*) > 1 AS quarantined FROM g GROUP BY c_nationkey""")
+@query("""WITH c AS (SELECT c_nationkey * 1000 + floor(c_acctbal / 50)::BIGINT AS document, c_mktsegment, c_name FROM customer),
+q AS (SELECT DISTINCT document FROM c WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')), g AS (SELECT document, c_mktsegment, min(c_name) AS n FROM c SEMI JOIN q USING (document) GROUP BY ALL)
+SELECT document, array_to_string(list_sort(list(n)), '|') AS names, count(*)::BIGINT AS n_names, count(*) > 1 AS quarantined FROM g GROUP BY document""")
 def registry_group_quarantine(spark, sf_dir):
-    rows = registry.qualifying(_t(spark, sf_dir, "customer"), "c_nationkey", (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 9000))
-    out = registry.identities(rows, "c_nationkey", "c_name", F.col("c_mktsegment"))
-    return out.select("c_nationkey", _joined("names").alias("names"), "n_names", "quarantined")
+    """Documents are customers of one nation and like balance, so some hold one identity and some several."""
+    rows = _t(spark, sf_dir, "customer").withColumn("document", F.col("c_nationkey") * 1000 + F.floor(F.col("c_acctbal") / 50))
+    out = registry.identities(registry.qualifying(rows, "document", F.col("c_mktsegment").isin("BUILDING", "MACHINERY")), "document", "c_name", F.col("c_mktsegment"))
+    return out.select("document", _joined("names").alias("names"), "n_names", "quarantined")
 
 
 @query("SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT l_returnflag || ':' || l_linestatus)), '|') AS titles FROM lineitem GROUP BY l_orderkey")
@@ -85,19 +86,19 @@ def exact_duplicates(spark, sf_dir):
     return per.agg(F.sum("count").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), (F.sum("count") - F.count(F.lit(1))).alias("n_duplicates"))
 
 
-_LINK = """WITH r AS (SELECT p_partkey AS id, array_to_string(list_sort(string_split(upper(p_name), ' ')), ' ') AS k, upper(p_type) AS title FROM part WHERE p_partkey < 48),
-o AS (SELECT p_brand AS institution, array_to_string(list_reverse(string_split(upper(p_name), ' ')), ' ') AS normalized_name, array_to_string(list_sort(string_split(upper(p_name), ' ')), ' ') AS k, upper(p_type) AS spec FROM part WHERE p_partkey >= 48),
+_LINK = """WITH r AS (SELECT p_partkey AS id, array_to_string(list_sort(string_split(upper(p_name), ' ')), ' ') AS k, upper(p_type) AS title FROM part WHERE p_partkey % 10 = 0),
+o AS (SELECT p_brand AS institution, array_to_string(list_reverse(string_split(upper(p_name), ' ')), ' ') AS normalized_name, array_to_string(list_sort(string_split(upper(p_name), ' ')), ' ') AS k, upper(p_type) AS spec FROM part WHERE p_partkey % 10 <> 0),
 g AS (SELECT institution, normalized_name, k, list(DISTINCT spec) AS specs FROM o GROUP BY ALL),
 m AS (SELECT g.institution, g.normalized_name, count(DISTINCT r.id)::BIGINT AS n, bool_or(list_contains(specs, r.title)) AS cons FROM g LEFT JOIN r USING (k) GROUP BY 1, 2),
 l AS (SELECT institution, normalized_name, n AS registry_matches, CASE WHEN n = 0 THEN 'unmatched' WHEN n > 1 THEN 'ambiguous_exact_name' WHEN cons THEN 'exact_name_and_title_consistent' ELSE 'exact_name_only' END AS status FROM m) """
 
 
 def _candidates(spark, sf_dir):
-    """The registry is the first 48 parts by definition of the roles, all other parts are observations."""
+    """Every tenth part is of the registry, all others are observations: both grow with the table."""
     part = _t(spark, sf_dir, "part").withColumn("key", text.person_name(F.col("p_name")))
     key = text.token_multiset(F.col("key")).alias("name_key")
-    people = part.where("p_partkey < 48").select(F.col("p_partkey").alias("id"), key, F.upper("p_type").alias("title"))
-    seen = part.where("p_partkey >= 48").select(F.col("p_brand").alias("institution"), F.array_join(F.reverse(F.split("key", " ")), " ").alias("normalized_name"), key, F.upper("p_type").alias("specialty"))
+    people = part.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("id"), key, F.upper("p_type").alias("title"))
+    seen = part.where("p_partkey % 10 <> 0").select(F.col("p_brand").alias("institution"), F.array_join(F.reverse(F.split("key", " ")), " ").alias("normalized_name"), key, F.upper("p_type").alias("specialty"))
     return linkage.link(linkage.group_observations(seen), people)
 
 
@@ -112,15 +113,15 @@ def linkage_status_counts(spark, sf_dir):
 
 
 @query(_LINK + """SELECT institution, normalized_name, status, 'ABSTAINED' AS resolution, 'not_public' AS visibility,
-CASE status WHEN 'unmatched' THEN 'NO_REGISTRY_MATCH' WHEN 'ambiguous_exact_name' THEN 'AMBIGUOUS_NAME' WHEN 'exact_name_and_title_consistent' THEN 'NAME_AND_TITLE_NEED_REVIEW' ELSE 'NAME_ONLY_NEEDS_REVIEW' END AS reason FROM l""")
+CASE status WHEN 'unmatched' THEN 'NO_MSP_CANDIDATE' WHEN 'ambiguous_exact_name' THEN 'MULTIPLE_MSP_CANDIDATES' WHEN 'exact_name_and_title_consistent' THEN 'HUMAN_REVIEW_REQUIRED' ELSE 'TITLE_NOT_CORROBORATED' END AS reason FROM l""")
 def abstained_resolutions(spark, sf_dir):
     return linkage.abstain(_candidates(spark, sf_dir)).select("institution", "normalized_name", "status", "resolution", "visibility", "reason")
 
 
 @query("""SELECT a.p_partkey AS part_a, b.p_partkey AS part_b, a.p_name = b.p_name AS ordered, contains(upper(a.p_type), upper(b.p_type)) OR contains(upper(b.p_type), upper(a.p_type)) AS consistent
-FROM part a JOIN part b ON array_to_string(list_sort(string_split(a.p_name, ' ')), ' ') = array_to_string(list_sort(string_split(b.p_name, ' ')), ' ') AND a.p_partkey < b.p_partkey AND a.p_brand = b.p_brand""")
+FROM part a JOIN part b ON array_to_string(list_sort(string_split(a.p_name, ' ')), ' ') = array_to_string(list_sort(string_split(b.p_name, ' ')), ' ') AND a.p_partkey < b.p_partkey""")
 def linkage_evidence(spark, sf_dir):
-    """Pairs of one name, whatever their brands; the SQL is of the former query, within a brand."""
+    """Pairs of one name, whatever their brands."""
     part = _t(spark, sf_dir, "part").withColumn("k", text.token_multiset(F.lower("p_name")))
     a, b = part.alias("a"), part.alias("b")
     out = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
@@ -162,10 +163,12 @@ def directory_profiles(spark, sf_dir):
     return out.select("c_custkey", _joined("items").alias("orders"), F.size("items").cast("long").alias("n_orders"))
 
 
-@query("SELECT 'order' AS kind, o_orderkey AS id FROM orders ANTI JOIN customer ON o_custkey = c_custkey UNION ALL SELECT 'part', p_partkey FROM part ANTI JOIN lineitem ON p_partkey = l_partkey")
+@query("SELECT 'order' AS kind, o_orderkey AS id FROM orders ANTI JOIN customer ON o_custkey + 20 = c_custkey UNION ALL SELECT 'part', p_partkey FROM part ANTI JOIN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 7) ON p_partkey = l_partkey")
 def referential_anti(spark, sf_dir):
-    orders = linkage.unknown_references(_t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), _t(spark, sf_dir, "customer"), "c_custkey")
-    parts = linkage.unknown_references(_t(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), _t(spark, sf_dir, "lineitem"), "l_partkey")
+    """References moved on by twenty, so that the last dangle; parts without a seventh line."""
+    moved = _t(spark, sf_dir, "orders").withColumn("c_custkey", F.col("o_custkey") + 20)
+    orders = linkage.unknown_references(moved, _t(spark, sf_dir, "customer"), "c_custkey")
+    parts = linkage.unknown_references(_t(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), _t(spark, sf_dir, "lineitem").where("l_linenumber = 7"), "l_partkey")
     return orders.select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id")).union(parts.select(F.lit("part"), "l_partkey"))
 
 
@@ -209,15 +212,30 @@ def fanout_cap(spark, sf_dir):
     return out.select("observed", "canonical", "kind", "match_count", ((F.col("kind") != names.EXACT) & F.col("suppressed")).alias("suppressed"))
 
 
-@query(_FLEX + "SELECT canonical, observed, kind FROM f WHERE kind IS NOT NULL QUALIFY row_number() OVER (PARTITION BY canonical ORDER BY kind, exact DESC, observed) = 1")
+_BEST = _FLEX + """, m AS (SELECT article, observed, max(c)::INTEGER AS n_context FROM (SELECT p_brand AS article, unnest([upper(p_name), upper(p_name) || ' ' || upper(p_type), substr(upper(p_name), 1, 1) || ' ' || split_part(upper(p_name), ' ', 2)]) AS observed, p_size % 3 AS c FROM part) GROUP BY ALL),
+j AS (SELECT canonical, article, observed, kind, n_context, CASE kind WHEN 'EXACT_NORMALIZED_NAME' THEN 0 WHEN 'PARTIAL_TOKEN_SUBSET' THEN 1 ELSE 2 END AS flexibility,
+ CASE kind WHEN 'EXACT_NORMALIZED_NAME' THEN 49 WHEN 'PARTIAL_TOKEN_SUBSET' THEN greatest(1, least(49, floor(20 + exact / 3.0::DOUBLE * 20 + CASE WHEN n_context > 0 THEN 10 ELSE 0 END + 0.5))) ELSE CASE WHEN n_context > 0 THEN 30 ELSE 15 END END::INTEGER AS points
+ FROM f JOIN m USING (observed) WHERE kind IS NOT NULL)
+SELECT canonical, article, observed AS mention, kind, points FROM j QUALIFY row_number() OVER (PARTITION BY canonical, article ORDER BY flexibility, n_context DESC, points DESC, observed) = 1"""
+
+
+@query(_BEST)
 def best_match(spark, sf_dir):
-    out = dedupe.keep_first(_flexible(spark, sf_dir), ["canonical"], ["kind", F.col("exact").desc(), "observed"])
-    return out.select("canonical", "observed", "kind")
+    """Brands are articles, the forms of their parts' names what they mention: the best mention of a professional in each."""
+    part = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("article"), F.upper("p_name").alias("n"), F.upper("p_type").alias("t"), (F.col("p_size") % 3).alias("c"))
+    two = F.split("n", " ")
+    forms = F.explode(F.array("n", F.concat_ws(" ", "n", "t"), F.concat_ws(" ", F.left(two[0], F.lit(1)), two[1]))).alias("mention")
+    said = part.select("article", forms, "c").groupBy("article", "mention").agg(F.max("c").cast("int").alias("n_context"))
+    found = _flexible(spark, sf_dir).withColumnRenamed("observed", "mention").join(said, "mention")
+    index = F.create_map(*[x for i, k in enumerate((names.EXACT, names.PARTIAL, names.INITIALS)) for x in (F.lit(k), F.lit(i))])[F.col("kind")]
+    points = news.review_points(F.col("kind"), F.col("exact") / F.lit(3.0), F.lit(False), F.lit(True), F.col("n_context") > 0)
+    best = news.strongest(found.withColumns({"flexibility": index, "points": points}), ["canonical", "article"])
+    return best.select("canonical", "article", "mention", "kind", "points")
 
 
-@query("SELECT p_partkey, array_to_string(list_sort(list_filter(list(p_partkey) OVER (PARTITION BY p_name, p_brand), lambda x: x <> p_partkey)), '|') AS competing FROM part")
+@query("SELECT p_partkey, array_to_string(list_sort(list_filter(list(p_partkey) OVER (PARTITION BY p_name), lambda x: x <> p_partkey)), '|') AS competing FROM part")
 def competing_ids(spark, sf_dir):
-    """All other ids of the name, whatever their brands; the SQL is of the former query, within a brand."""
+    """All other ids of the name, whatever their brands."""
     return dedupe.competing(_t(spark, sf_dir, "part"), ["p_name"], "p_partkey").select("p_partkey", _joined("competing").alias("competing"))
 
 
@@ -231,12 +249,20 @@ def review_points(spark, sf_dir):
     return e.select("event_id", "kind", points.alias("points"))
 
 
-@query("""WITH b AS (SELECT item_id, list_distinct(list_filter(string_split(trim(regexp_replace(upper(strip_accents(text)), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), lambda x: length(x) >= 6)) AS w FROM benchmark),
-t AS (SELECT page_id, unnest(list_distinct(list_filter(string_split(trim(regexp_replace(upper(replace(strip_accents(title), 'ß', 'ss')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), lambda x: length(x) >= 6))) AS w FROM """ + _PAGE + """),
-s AS (SELECT item_id, unnest(w) AS w FROM b) SELECT t.page_id, s.item_id, count(DISTINCT left(t.w, 6))::BIGINT AS shared FROM t JOIN s ON left(t.w, 6) = left(s.w, 6) GROUP BY ALL""")
+_CONTEXT = f"""WITH RECURSIVE g AS (SELECT unnest({list(news.GENERIC_CONTEXT)}) AS w), s AS (SELECT unnest({list(news.SPECIALTY_STEMS)}) AS s),
+d AS (SELECT DISTINCT doc_id, unnest(string_split({_WORDS.format(_UP.format("text"))}, ' ')) AS w FROM documents),
+b AS (SELECT DISTINCT item_id, unnest(string_split({_WORDS.format(_UP.format("text"))}, ' ')) AS w FROM benchmark),
+m AS (SELECT item_id, w FROM b ANTI JOIN g USING (w) WHERE length(w) >= 3),
+x AS (SELECT DISTINCT w FROM m), y AS (SELECT DISTINCT w FROM d),
+p AS (SELECT x.w AS a, y.w AS b FROM x JOIN y USING (w) UNION SELECT x.w, y.w FROM x JOIN y ON left(x.w, 6) = left(y.w, 6) WHERE length(x.w) >= 6 AND length(y.w) >= 6
+ UNION SELECT x.w, y.w FROM x JOIN s ON starts_with(x.w, s.s) JOIN y ON starts_with(y.w, s.s)),
+h AS (SELECT DISTINCT doc_id, p.a FROM d JOIN p ON d.w = p.b)
+SELECT doc_id, item_id, count(*)::BIGINT AS shared FROM h JOIN m ON h.a = m.w GROUP BY ALL"""
+
+
+@query(_CONTEXT)
 def context_match(spark, sf_dir):
-    """Documents and benchmark items that share a context word, by equal words, specialty stems or six first letters. The
-    SQL is of the former query (page titles, words of six letters or more) and differs."""
+    """Documents and benchmark items that share a context word, by equal words, specialty stems or six first letters."""
     rows = lambda name, key: _t(spark, sf_dir, name).select(key, "text")
     words = lambda df: df.withColumn("words", F.split(text.credential(F.col("text")), " ")).drop("text")
     return news.context_pairs(words(rows("documents", "doc_id").repartition("doc_id")), words(rows("benchmark", "item_id")), "doc_id", "item_id")
@@ -250,13 +276,16 @@ def alert_severity(spark, sf_dir):
     return e.withColumn("severity", news.alert_severity(F.col("kind"), F.col("amb"), F.col("cor")))
 
 
-_CLASSES = (("ADVERSE", ("that", "then"), ("of the",)), ("MINOR", ("het",), ("and her",)), ("PRIVATE_HEALTH", ("tion",), ()))
+_CLASSES = (("ADVERSE_OR_JUDICIAL", ("that", "then"), ("of the",)), ("MINOR", ("het",), ("and her",)), ("PRIVATE_HEALTH", ("tion",), ()))
 
 
-@query(f"SELECT page_id, array_to_string(list_filter([CASE WHEN regexp_matches(k, ' (that|then)') OR contains(k, ' of the ') THEN 'ADVERSE' END, CASE WHEN regexp_matches(k, ' (het)') OR contains(k, ' and her ') THEN 'MINOR' END, CASE WHEN regexp_matches(k, ' (tion)') THEN 'PRIVATE_HEALTH' END], lambda x: x IS NOT NULL), '|') AS classes FROM (SELECT page_id, ' ' || trim(regexp_replace(lower(strip_accents(title)), '[^a-z0-9]+', ' ', 'g')) || ' ' AS k FROM {_PAGE})")
+@query(f"""SELECT page_id, coalesce(nullif(array_to_string(list_filter([CASE WHEN regexp_matches(k, ' (that|then)') OR contains(k, ' of the ') THEN 'ADVERSE_OR_JUDICIAL' END, CASE WHEN regexp_matches(k, ' (het)') OR contains(k, ' and her ') THEN 'MINOR' END,
+CASE WHEN regexp_matches(k, ' (tion)') THEN 'PRIVATE_HEALTH' END], lambda x: x IS NOT NULL), '|'), ''), 'NOT_CLEARLY_BENIGN_PUBLIC_CONTEXT') AS reasons FROM (SELECT page_id, ' ' || {_WORDS.format("lower(strip_accents(title))")} || ' ' AS k FROM {_PAGE})""")
 def headline_policy(spark, sf_dir):
-    """The classifier with stems of the synthetic language; its real vocabularies are in ``operators.news``."""
-    return _titles(spark, sf_dir).select("page_id", _joined(news.sensitive_classes(text.match_key(F.col("title")), _CLASSES)).alias("classes"))
+    """The policy with stems of the synthetic language, and no names found: what no class restricts isn't clearly benign. Its
+    real vocabularies are in ``operators.news``."""
+    none = F.array().cast("array<string>")
+    return _titles(spark, sf_dir).select("page_id", _joined(news.headline_reasons(F.col("title"), none, _CLASSES)).alias("reasons"))
 
 
 _URL = "regexp_replace(regexp_replace(url, '^http://', 'https://'), '#.*$', '')"
@@ -394,14 +423,18 @@ def slug_redirect(spark, sf_dir):
     return search.by_id_or_slug(c, routes, "id", "OLD-77").select("c_custkey", "c_name", "current_slug")
 
 
-@query(f"SELECT word, rank() OVER (ORDER BY base, word)::INTEGER AS pos FROM (SELECT DISTINCT w AS word, strip_accents(w) AS base FROM (SELECT unnest(string_split(trim(regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')) AS w FROM {_PAGE}) WHERE w <> '')")
+@query(f"SELECT word, row_number() OVER (ORDER BY word COLLATE es, word)::INTEGER AS pos FROM (SELECT DISTINCT unnest(string_split(trim(regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')) AS word FROM {_PAGE}) WHERE word <> ''")
 def es_collated_sort(spark, sf_dir):
-    """Base letters first, then accents. Ranges are dealt by a sort, and offsets added, so no task sees all words."""
+    """Places of the distinct words in Spanish order (n before ñ before o). Words are dealt by their first two letters
+    without accents, but ñ, in which that order agrees; places inside each, and the words before it, add up, so no task
+    sees all words. Only the table of beginnings, bounded by the alphabet, is summed up in one."""
     w = _titles(spark, sf_dir).select(F.explode(F.split(text.words(F.lower("title")), " ")).alias("word")).where("word <> ''").distinct()
-    w = w.withColumn("base", text.fold(F.col("word"))).withColumn("initial", F.left("base", F.lit(2)))
+    plain = F.expr("replace(replace(replace(word, 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe')")
+    letters = F.replace(text.fold(F.replace(plain, F.lit("ñ"), F.lit("\x01"))), F.lit("\x01"), F.lit("ñ"))
+    w = w.withColumn("initial", F.left(letters, F.lit(2)))
     counts = w.groupBy("initial").count()
-    before = counts.alias("a").join(counts.alias("b"), F.col("b.initial") < F.col("a.initial"), "left").groupBy("a.initial").agg(F.coalesce(F.sum("b.count"), F.lit(0)).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("initial").orderBy("base", "word"))
+    before = counts.withColumn("before", F.sum("count").over(Window.orderBy(F.collate("initial", "es"), "initial")) - F.col("count")).drop("count")
+    inside = F.row_number().over(Window.partitionBy("initial").orderBy(F.collate("word", "es"), "word"))
     return w.join(before, "initial").select("word", (F.col("before") + inside).cast("int").alias("pos"))
 
 
@@ -437,12 +470,12 @@ def retention_expired(spark, sf_dir):
     return publication.expired(o.join(s, "o_orderkey"), F.to_timestamp_ntz(F.lit("1996-01-01 00:00:00")), "ttl", "shipped").select("o_orderkey")
 
 
-@query(f"WITH q AS (SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, count(*) AS n, count(*) FILTER (title <> '' AND NOT contains(title, '*')) AS ok FROM {_PAGE} GROUP BY 1) SELECT host, n::BIGINT AS n, ok::BIGINT AS complete, array_to_string(list_filter([CASE WHEN n < 20 THEN 'TOO_FEW_ROWS' END, CASE WHEN ok < 0.9 * n THEN 'INCOMPLETE_ROWS' END], lambda x: x IS NOT NULL), '|') AS issues FROM q")
+@query(f"WITH q AS (SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, count(*) AS n, count(*) FILTER (title <> '' AND NOT contains(title, '*')) AS ok, count(DISTINCT url) FILTER (contains(url, '?')) AS c FROM {_PAGE} GROUP BY 1) SELECT host, n::BIGINT AS n, ok::BIGINT AS complete, array_to_string(list_filter([CASE WHEN n < 20 THEN 'TOO_FEW_ROWS' END, CASE WHEN ok < 0.9 * n THEN 'INCOMPLETE_ROWS' END, CASE WHEN c = 0 THEN 'NO_CENTER_URLS' END], lambda x: x IS NOT NULL), '|') AS issues FROM q")
 def quality_gate(spark, sf_dir):
-    p = _titles(spark, sf_dir).select(F.parse_url("url", F.lit("HOST")).alias("host"), "title")
-    q = p.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("title") != "") & ~F.contains("title", F.lit("*"))).alias("complete"))
-    issues = F.filter(F.array(F.when(F.col("n") < 20, "TOO_FEW_ROWS"), F.when(F.col("complete") < 0.9 * F.col("n"), "INCOMPLETE_ROWS")), lambda x: x.isNotNull())
-    return q.withColumn("issues", _joined(issues))
+    """Hosts as directory pages; addresses with a query stand for centers. Twenty rows are enough here, a hundred by default."""
+    p = _titles(spark, sf_dir).select(F.parse_url("url", F.lit("HOST")).alias("host"), "title", "url")
+    q = p.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("title") != "") & ~F.contains("title", F.lit("*"))).alias("complete"), F.count_if(F.contains("url", F.lit("?"))).alias("c"))
+    return q.select("host", "n", "complete", _joined(directory.quality_issues(F.col("n"), F.col("complete"), F.col("c"), 20)).alias("issues"))
 
 
 @query("SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '(?is)<li><a href=\"([^\"]*)\">', 1))::BIGINT AS n_links FROM pages")

@@ -1,11 +1,14 @@
 import pytest
 
-from lindero.plans import catalog
+from lindero.plans import catalog, contracts
 
 from .conftest import DATA
 from .oracle import same_as_sql
 
 
+assert contracts  # adds its queries
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, name):
     same_as_sql(catalog.QUERIES[name](spark, DATA), catalog.ORACLES[name], DATA)
