@@ -439,7 +439,7 @@ def connect(docs: DataFrame, k: int = 5, t: int = 80, apart: bool = False) -> tu
     member = materialize(entries.join(hubs, ["s", "band"]).select("hub", "node", "n").distinct())
 
     cuts = F.ceil(F.greatest(F.col("count") / CHUNK, F.col("size") * 8 / CHUNK_BYTES)).cast("int")
-    parts = member.groupBy("hub").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size")).select("hub", cuts.alias("chunks"))
+    parts = materialize(member.groupBy("hub").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size")).select("hub", cuts.alias("chunks")))
     member = materialize(member.drop("n").join(parts, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
     # a row a node first, so that copies of one text meet as one; then those in blocks
     bits = every.where("bits IS NOT NULL").select("node", "n", "bits").dropDuplicates(["node"])
