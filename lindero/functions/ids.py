@@ -61,6 +61,32 @@ def canonical_url(c: Column) -> Column:
     return F.when(url.rlike("^https://[^/?#]+"), url)
 
 
+def resolve(href: Column, base: Column) -> Column:
+    """An address relative to a page's: whole, without scheme, from the root, a query or fragment, or beside the page; dot
+    segments are taken out."""
+    page = F.regexp_replace(base, "[?#].*$", "")
+    origin = F.regexp_extract(page, "^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
+    path = F.substring(page, F.char_length(origin) + 1, F.char_length(page))
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", ""))
+    h = F.trim(href)
+    whole = F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(F.regexp_extract(page, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), h))
+    whole = whole.when(h.startswith("/"), F.concat(origin, h)).when(h == "", base).when(h.startswith("?"), F.concat(page, h)).when(h.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), h))
+    whole = whole.otherwise(F.concat(origin, folder, h))
+    head, tail = F.regexp_extract(whole, "^([^?#]*)", 1), F.regexp_extract(whole, "^[^?#]*(.*)$", 1)
+    start = F.regexp_extract(head, "^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
+    parts = F.split(F.substring(head, F.char_length(start) + 1, F.char_length(head)), "/")
+    zero = F.array().cast("array<string>")
+    kept = F.aggregate(F.filter(parts, lambda x: x != "."), zero, lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.concat(a, F.array(x))))
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(start == "", whole).otherwise(F.concat(start, F.array_join(kept, "/"), tail))
+
+
+def article_url(href: Column, base: Column, hosts: list[str]) -> Column:
+    """The canonical address of an article, if it is https and of one of the hosts; else null."""
+    url = canonical_url(resolve(href, base))
+    return F.when(F.lower(F.parse_url(url, F.lit("HOST"))).isin(*[h.lower() for h in hosts]), url)
+
+
 def encode_cursor(name: str, public_id: str) -> str:
     body = json.dumps({"version": 1, "normalizedName": name, "id": public_id}, separators=(",", ":"), ensure_ascii=False)
     return base64.urlsafe_b64encode(body.encode()).decode().rstrip("=")

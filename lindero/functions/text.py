@@ -158,6 +158,12 @@ def intervals(c: Column) -> Column:
     return F.filter(F.transform(found, pair), lambda p: p["start"].rlike(clock) & p["end"].rlike(clock))
 
 
+def code_unit_key(c: Column) -> Column:
+    """A text to order by, so that texts sort by UTF-16 code units: only beyond the basic plane does that differ from the
+    order of a column itself."""
+    return F.hex(F.encode(c, "UTF-16BE"))
+
+
 def like_escape(c: Column) -> Column:
     return F.regexp_replace(c, r"([\\%_])", r"\\$1")
 

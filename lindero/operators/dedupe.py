@@ -46,3 +46,13 @@ def merge_by_key(df: DataFrame, key: str, order: list[str], first: list[str], un
     head = F.min_by(F.struct(*first), F.struct(*order)).alias("_first")
     out = df.groupBy(key).agg(head, F.array_sort(F.array_distinct(F.flatten(F.collect_set(union)))).alias(union))
     return out.select(key, "_first.*", union)
+
+
+def merge_articles(df: DataFrame, key: str, order: list[str], first: list[str], name: str, normalized: Column) -> DataFrame:
+    """One row an article, from rows of (article, name): the first row's metadata, and its names in the order in which each
+    normalised name came first, in the spelling that came last."""
+    at = F.struct(*order)
+    spelled = df.where(F.col(name).isNotNull()).withColumn("_norm", normalized).groupBy(key, "_norm").agg(F.min(at).alias("_at"), F.max_by(name, at).alias("_name"))
+    names = spelled.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_norm", "_name"))), lambda x: x["_name"]).alias("names"))
+    head = df.groupBy(key).agg(F.min_by(F.struct(*first), at).alias("_first")).select(key, "_first.*")
+    return head.join(names, key, "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))

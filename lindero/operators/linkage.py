@@ -15,6 +15,24 @@ def first_of(*columns: str) -> Column:
     return F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in columns])
 
 
+def observation(rows: DataFrame, file: str, row: str) -> DataFrame:
+    """Rows of any provider as one shape: name, institution, record_id, specialties. Each is the first non-blank of several
+    columns, those that a provider lacks left out; the parent folder names an institution, file and row a record."""
+    def first(*names: str, last: Column | None = None) -> Column:
+        found = [F.nullif(F.trim(F.col(n).cast("string")), F.lit("")) for n in names if n.split(".")[0] in rows.columns]
+        return F.coalesce(*found, *([] if last is None else [last]), F.lit(None).cast("string"))
+
+    parent = F.element_at(F.split(F.col(file), "/"), -2)
+    one = first("specialty", "speciality", "sourceSpecialty")
+    several = F.filter(F.transform("specialties", lambda x: F.trim(x)), lambda x: x != "") if "specialties" in rows.columns else F.array().cast("array<string>")
+    whose = ["source.institution"] if dict(rows.dtypes).get("source", "").startswith("struct") else []
+    here = ["source.id"] if whose and "id:" in dict(rows.dtypes)["source"] else []
+    return rows.select(
+        "*", first("professionalName", "physicianName", "fullName", "name").alias("_name"), first(*whose, "institution", "provider", *here, last=parent).alias("_institution"), first("recordId", "sourceProfessionalId", last=F.concat_ws(":", F.col(file), F.col(row).cast("string"))).alias("_record_id"),
+        F.when(one.isNotNull(), F.array(one)).otherwise(F.coalesce(several, F.array().cast("array<string>"))).alias("_specialties"),
+    )
+
+
 def group_observations(obs: DataFrame) -> DataFrame:
     """(institution, normalized_name, name_key, specialty) rows -> one identity each, specialties collected."""
     return obs.groupBy("institution", "normalized_name", "name_key").agg(F.array_sort(F.collect_set("specialty")).alias("specialties"))

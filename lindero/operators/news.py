@@ -172,6 +172,56 @@ def match_reasons(kind: Column, homonym: Column, several: Column, medical: Colum
     return F.filter(F.array(*codes), lambda x: x.isNotNull())
 
 
+# What a reviewer is told.
+SAID = {"EXACT_NORMALIZED_NAME": "nombre completo normalizado", "PARTIAL_TOKEN_SUBSET": "nombre parcial", "INITIALS_TOKEN_SUBSEQUENCE": "iniciales y nombre parcial"}
+MESSAGE = ("Posible coincidencia por ", ". La identidad no está confirmada; no atribuir el artículo, sus hechos ni conclusiones al profesional sin revisión humana y evidencia secundaria verificable.")
+MEDICAL = "El titular contiene una señal léxica de contexto médico, que no acredita identidad."
+NOT_MEDICAL = "El titular no contiene una señal léxica de contexto médico, por lo que la prioridad de revisión se reduce."
+CORROBORATED = ("Hay coincidencia contextual de ", ", pero es sólo una señal de apoyo y tampoco acredita identidad.")
+NOT_CORROBORATED = "No se encontró corroboración contextual por profesión o institución; la ausencia de esos datos no se interpreta como contradicción."
+HOMONYM = "El nombre normalizado coincide exactamente con más de un profesional. Es una hipótesis ambigua y no acredita identidad."
+SEVERAL = "La mención flexible es compatible con varios profesionales. Es una hipótesis ambigua y no acredita identidad."
+EXACT = "El nombre normalizado coincide exactamente, pero no acredita identidad ni confirma hechos del artículo."
+PARTIAL = "La mención contiene un subconjunto de al menos dos tokens del nombre. Tiene riesgo elevado de falso positivo y requiere identificadores secundarios y revisión humana."
+INITIALS = "La mención combina una o más iniciales con al menos un token completo del nombre, en el mismo orden. Tiene riesgo muy alto de falso positivo y requiere identificadores secundarios y revisión humana reforzada."
+
+
+def alert_message(kind: Column) -> Column:
+    how = F.create_map(*[F.lit(x) for pair in SAID.items() for x in pair])[kind]
+    return F.concat(F.lit(MESSAGE[0]), how, F.lit(MESSAGE[1]))
+
+
+def explanation(kind: Column, homonym: Column, several: Column, medical: Column, profession: Column, institution: Column) -> Column:
+    """What the match rests on: the kind or its ambiguity, then the corroboration, then the context."""
+    which = F.concat_ws(" e ", F.when(profession, "profesión"), F.when(institution, "institución"))
+    support = F.when(profession | institution, F.concat(F.lit(CORROBORATED[0]), which, F.lit(CORROBORATED[1]))).otherwise(NOT_CORROBORATED)
+    lead = F.when(homonym, HOMONYM).when(several, SEVERAL).when(kind == "EXACT_NORMALIZED_NAME", EXACT).when(kind == "PARTIAL_TOKEN_SUBSET", PARTIAL).otherwise(INITIALS)
+    return F.concat_ws(" ", lead, support, F.when(medical, MEDICAL).otherwise(NOT_MEDICAL))
+
+
+def source_counters(items: DataFrame, source: str, as_of: Column, stale_hours: int = 72, days: int = 30) -> DataFrame:
+    """Per source the counts of its items and the histogram of why some were restricted. items: published, reasons (array, empty
+    if not restricted), seen (restricted earlier under its address), n_names. An item published after ``as_of`` is invalid,
+    one before the window stale; where the newest is too old the source is STALE and all its items are skipped. One item adds
+    to several reasons, one restricted earlier to none."""
+    kind = window_class(F.col("published"), as_of, days)
+    newest = F.max(F.when(kind != "future", F.col("published")))
+    valid = kind == "valid"
+    restricted = valid & ((F.size("reasons") > 0) | F.col("seen"))
+    fresh = valid & ~restricted
+    names = sorted({*(n for n, _, _ in CLASSES), NOT_BENIGN})
+    why = [F.count_if(valid & F.array_contains("reasons", n)).alias(f"restricted_{n.lower()}") for n in names]
+    out = items.groupBy(source).agg(
+        F.count(F.lit(1)).alias("discovered"), F.count_if(kind == "future").alias("invalid"), F.count_if(kind == "stale").alias("skipped_stale"), F.count_if(restricted).alias("restricted"), F.count_if(fresh & (F.col("n_names") > 0)).alias("with_mentions"),
+        F.count_if(fresh & (F.col("n_names") == 0)).alias("without_mentions"), newest.alias("freshest"), *why,
+    )
+    stale = F.coalesce(F.col("freshest") < as_of - F.make_dt_interval(F.lit(0), F.lit(stale_hours)), F.lit(True))
+    counters = ["restricted", "with_mentions", "without_mentions", *[f"restricted_{n.lower()}" for n in names]]
+    out = out.withColumn("status", F.when(stale, "STALE").otherwise("FETCHED"))
+    skipped = F.when(stale, F.col("discovered") - F.col("invalid")).otherwise(F.col("skipped_stale"))
+    return out.withColumns({"skipped_stale": skipped, **{c: F.when(stale, F.lit(0)).otherwise(F.col(c)).cast("long") for c in counters}})
+
+
 def window_class(published: Column, retrieved: Column, days: int = 30) -> Column:
     """future: after retrieval; stale: older than the collection window; else valid. Equal instants are valid."""
     return F.when(published > retrieved, "future").when(published < retrieved - F.make_dt_interval(F.lit(days)), "stale").otherwise("valid")

@@ -6,11 +6,11 @@ faults in fixed shares of the rows, so that every rule has rows on both sides.""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..operators import contracts, directory, headlines, news, registry, search, views
+from ..functions import ids, text
+from ..operators import contracts, dedupe, directory, headlines, linkage, news, registry, search, views
 from ..sources import provider_pages, stores
 from .catalog import _PAGE, _UP, _WORDS, _joined, _t, _titles, query
 
@@ -508,3 +508,65 @@ def weekday_roster(spark, sf_dir):
     out = provider_pages.roster(li.select("*", heads.alias("headers"), cells.alias("cells")), F.col("headers"), F.col("cells"), columns)
     return out.select("l_orderkey", "l_linenumber", "professional_name", "specialty", "venue", _joined(F.transform("weekly", lambda d: F.concat_ws("=", d["day"], d["value"]))).alias("weekly"))
 
+
+# --- feeds and observations ------------------------------------------------------------------------------------
+
+
+@query("""WITH e AS (SELECT *, 'u' || user_id % 40 AS source, TIMESTAMP '2024-01-25' AS as_of FROM events), k AS (SELECT *, CASE WHEN ts > as_of THEN 'future' WHEN ts < as_of - INTERVAL 15 DAY THEN 'stale' ELSE 'valid' END AS k, event_type = 'error' AS minor, event_type IN ('error', 'click') AS other, event_id % 5 = 0 AS seen, event_id % 3 AS n FROM e),
+c AS (SELECT source, count(*) AS discovered, count(*) FILTER (k = 'future') AS invalid, count(*) FILTER (k = 'stale') AS old, count(*) FILTER (k = 'valid' AND (other OR seen)) AS restricted, count(*) FILTER (k = 'valid' AND NOT other AND NOT seen AND n > 0) AS m, count(*) FILTER (k = 'valid' AND NOT other AND NOT seen AND n = 0) AS w,
+ count(*) FILTER (k = 'valid' AND minor) AS rm, count(*) FILTER (k = 'valid' AND other) AS ro, max(ts) FILTER (k <> 'future') < TIMESTAMP '2024-01-25' - INTERVAL 6 HOUR AS stale FROM k GROUP BY source)
+SELECT source, discovered::BIGINT AS discovered, invalid::BIGINT AS invalid, CASE WHEN stale THEN discovered - invalid ELSE old END::BIGINT AS skipped_stale, CASE WHEN stale THEN 0 ELSE restricted END::BIGINT AS restricted, CASE WHEN stale THEN 0 ELSE m END::BIGINT AS with_mentions, CASE WHEN stale THEN 0 ELSE w END::BIGINT AS without_mentions,
+ CASE WHEN stale THEN 0 ELSE rm END::BIGINT AS minors, CASE WHEN stale THEN 0 ELSE ro END::BIGINT AS adverse, CASE WHEN stale THEN 'STALE' ELSE 'FETCHED' END AS status FROM c""")
+def source_counters(spark, sf_dir):
+    kind = F.col("event_type")
+    reasons = F.when(kind == "error", F.array(F.lit("ADVERSE_OR_JUDICIAL"), F.lit("MINOR"))).when(kind == "click", F.array(F.lit("ADVERSE_OR_JUDICIAL"))).otherwise(F.array().cast("array<string>"))
+    items = _t(spark, sf_dir, "events").select(F.concat(F.lit("u"), (F.col("user_id") % 40).cast("string")).alias("source"), F.col("ts").alias("published"), reasons.alias("reasons"), (F.col("event_id") % 5 == 0).alias("seen"), (F.col("event_id") % 3).alias("n_names"))
+    out = news.source_counters(items, "source", F.to_timestamp_ntz(F.lit("2024-01-25 00:00:00")), 6, 15)
+    return out.select("source", "discovered", "invalid", "skipped_stale", "restricted", "with_mentions", "without_mentions", F.col("restricted_minor").alias("minors"), F.col("restricted_adverse_or_judicial").alias("adverse"), "status")
+
+
+@query("""WITH r AS (SELECT o_custkey % 50 AS article, o_orderkey, o_orderpriority AS head, CASE o_orderkey % 3 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) END AS name FROM orders JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT article, upper(name) AS k, min(o_orderkey) AS p, max_by(name, o_orderkey) AS name FROM r WHERE name IS NOT NULL GROUP BY 1, 2),
+n AS (SELECT article, string_agg(name, '|' ORDER BY p, k) AS names FROM s GROUP BY 1), h AS (SELECT article, min_by(head, o_orderkey) AS head FROM r GROUP BY 1) SELECT article, head, coalesce(names, '') AS names FROM h LEFT JOIN n USING (article)""")
+def merge_articles(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").join(_t(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.upper("c_mktsegment")).when(F.col("o_orderkey") % 3 == 1, F.lower("c_mktsegment"))
+    rows = o.select((F.col("o_custkey") % 50).alias("article"), "o_orderkey", F.col("o_orderpriority").alias("head"), name.alias("name"))
+    out = dedupe.merge_articles(rows, "article", ["o_orderkey"], ["head"], "name", text.person_name(F.col("name")))
+    return out.select("article", "head", _joined("names").alias("names"))
+
+
+@query("""SELECT c_custkey, trim(CASE WHEN c_custkey % 4 = 0 THEN c_name ELSE c_mktsegment END) AS name, CASE WHEN c_custkey % 3 = 0 THEN 'inst' ELSE 'folder' END AS institution, CASE WHEN c_custkey % 5 = 0 THEN 'r' || c_custkey ELSE 'data/folder/file.ndjson:' || c_custkey END AS record_id, CASE WHEN c_custkey % 2 = 0 THEN 'one' ELSE 'two|three' END AS specialties FROM customer""")
+def observation_fields(spark, sf_dir):
+    k = F.col("c_custkey")
+    rows = _t(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(k % 4 == 0, F.col("c_name")).otherwise(" ").alias("physicianName"), F.col("c_mktsegment").alias("name"), F.when(k % 3 == 0, "inst").alias("provider"), F.when(k % 5 == 0, F.concat(F.lit("r"), k.cast("string"))).alias("recordId"), F.when(k % 2 == 0, "one").alias("speciality"),
+        F.array(F.lit("two "), F.lit(""), F.lit("three")).alias("specialties"), F.lit("data/folder/file.ndjson").alias("file"),
+    )
+    out = linkage.observation(rows, "file", "c_custkey")
+    return out.select("c_custkey", F.col("_name").alias("name"), F.col("_institution").alias("institution"), F.col("_record_id").alias("record_id"), _joined("_specialties").alias("specialties"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'https://a.org/x/' || o_orderkey WHEN 1 THEN 'https://a.org/' || o_orderkey WHEN 2 THEN 'https://a.org/p/q/' || o_orderkey || '?y' WHEN 3 THEN 'https://a.org/p/' || o_orderkey WHEN 4 THEN 'https://b.org/' || o_orderkey WHEN 5 THEN 'https://a.org/p/q/r?z=' || o_orderkey WHEN 6 THEN '' ELSE 'https://a.org/p/q/r' END AS url FROM orders""")
+def resolved_urls(spark, sf_dir):
+    k = F.col("o_orderkey").cast("string")
+    forms = (F.concat(F.lit("http://a.org:80/../x/"), k), F.concat(F.lit("/"), k), F.concat(F.lit("./"), k, F.lit("?y#z")), F.concat(F.lit("../"), k), F.concat(F.lit("//b.org/"), k), F.concat(F.lit("?z="), k), F.concat(F.lit("https://c.org/"), k))
+    href = F.coalesce(*[F.when(F.col("o_orderkey") % 8 == i, f) for i, f in enumerate(forms)], F.lit("#top"))
+    href = F.regexp_replace(href, ":80/", "/")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(ids.article_url(href, F.lit("https://a.org/p/q/r"), ["a.org", "B.org"]), F.lit("")).alias("url"))
+
+
+@query("SELECT word, row_number() OVER (ORDER BY word)::INTEGER AS pos FROM (SELECT DISTINCT n_name AS word FROM nation)")
+def code_unit_order(spark, sf_dir):
+    """Places by UTF-16 code units; a window over the few names of nations."""
+    w = _t(spark, sf_dir, "nation").select(F.col("n_name").alias("word")).distinct()
+    return w.select("word", F.row_number().over(Window.orderBy(text.code_unit_key(F.col("word")))).alias("pos"))
+
+
+@query(_CAND + """SELECT event_id, sha256(CASE ambiguity WHEN 'HOMONYM' THEN '""" + news.HOMONYM + """' WHEN 'MULTIPLE_POSSIBLE_PROFESSIONALS' THEN '""" + news.SEVERAL + """' ELSE CASE kind[1] WHEN 'E' THEN '""" + news.EXACT + """' WHEN 'P' THEN '""" + news.PARTIAL + """' ELSE '""" + news.INITIALS + """' END END || ' ' ||
+CASE WHEN n_context > 0 THEN 'Hay coincidencia contextual de profesión' || CASE WHEN event_id % 2 = 0 THEN ' e institución' ELSE '' END || ', pero es sólo una señal de apoyo y tampoco acredita identidad.' ELSE '""" + news.NOT_CORROBORATED + """' END || ' ' || CASE WHEN event_id % 4 = 0 THEN '""" + news.MEDICAL + """' ELSE '""" + news.NOT_MEDICAL + """' END) AS told FROM c""")
+def alert_explanations(spark, sf_dir):
+    c, _ = _candidates(spark, sf_dir)
+    k, amb, found = F.col("event_id"), F.col("ambiguity"), F.col("n_context") > 0
+    told = news.explanation(F.col("kind"), amb == "HOMONYM", amb == "MULTIPLE_POSSIBLE_PROFESSIONALS", k % 4 == 0, found, found & (k % 2 == 0))
+    return c.select("event_id", F.sha2(told, 256).alias("told"))

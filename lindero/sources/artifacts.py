@@ -82,15 +82,28 @@ def purge(roots: list[Path], now: str, apply: bool = False) -> list[Path]:
     return out
 
 
-def run_stages(stages: list[tuple[str, Callable[[], None]]]) -> list[dict]:
-    """Runs in order and stops at the first failure; later stages stay PENDING."""
+def run_stages(stages: list[tuple[str, Callable[[], None]]], status_path: Path | None = None) -> list[dict]:
+    """Runs in order and stops at the first failure; later stages stay PENDING. After every change the whole status is written
+    in one step, so a reader never sees half of it."""
     status = [{"stage": n, "state": "PENDING"} for n, _ in stages]
+
+    def tell() -> None:
+        if status_path:
+            states = {s["state"] for s in status}
+            whole = "FAILED" if "FAILED" in states else "SUCCEEDED" if states <= {"SUCCEEDED"} else "RUNNING"
+            part = status_path.with_name(f".{status_path.name}.{os.getpid()}")
+            part.write_text(json.dumps({"schemaVersion": 1, "state": whole, "stages": status}, indent=2) + "\n")
+            os.replace(part, status_path)
+
     for s, (_, f) in zip(status, stages):
         s["state"] = "RUNNING"
+        tell()
         try:
             f()
         except Exception as e:
             s |= {"state": "FAILED", "error": type(e).__name__}
             break
         s["state"] = "SUCCEEDED"
+        tell()
+    tell()
     return status

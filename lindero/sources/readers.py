@@ -56,8 +56,9 @@ def parse_delimited(text: str, delimiter: str = ",", quote: str = '"') -> list[l
     return rows
 
 
-def read_delimited_strict(spark: SparkSession, path: str, header: list[str], delimiter: str = ",", encoding: str = "utf-8") -> DataFrame:
-    """Whole files through the strict parser; a header that differs, or a row of another width, fails with its number."""
+def read_delimited_strict(spark: SparkSession, path: str, header: list[str], delimiter: str = ",", encoding: str = "utf-8", required: tuple[str, ...] = ()) -> DataFrame:
+    """Whole files through the strict parser; a header that differs, a row of another width or one with a blank required field
+    fails with its number. For artifacts of bounded size: quotes may hold line ends, so a file can't be split."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -69,6 +70,8 @@ def read_delimited_strict(spark: SparkSession, path: str, header: list[str], del
                 for i, r in enumerate(rows[1:], 2):
                     if len(r) != len(header):
                         raise ValueError(f"{name}: row {i} has {len(r)} columns")
+                    if blank := [h for h in required if not r[header.index(h)].strip()]:
+                        raise ValueError(f"{name}: row {i} has an empty {blank[0]}")
                 yield pd.DataFrame([[*r, i] for i, r in enumerate(rows[1:], 2)], columns=[*header, "row"])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")

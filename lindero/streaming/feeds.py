@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 
@@ -18,3 +19,13 @@ def window_counts(stream: DataFrame, event_time: str, key: str, width: str = "1
 
 def with_expiry(stream: DataFrame, event_time: str, days: int = 90) -> DataFrame:
     return stream.withColumn("expires_at", F.col(event_time) + F.make_dt_interval(F.lit(days)))
+
+
+def write_once(stream: DataFrame, target: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Each micro-batch as a folder of its own, named by its number and written over: one that is run again after a failure
+    replaces what it left, so every row is there once."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True}).start()

@@ -218,3 +218,51 @@ def test_gates(spark):
     with pytest.raises(Exception, match="unknown temporary registration"):
         spark.createDataFrame([("other",)], "v string").select(contracts.temporary_registration(F.col("v"))).collect()
     assert views.grants(["v"], [("v", "SELECT"), ("t", "SELECT"), ("v", "INSERT")]) == [("t", "SELECT"), ("v", "INSERT")]
+
+
+def test_stages_tell_their_status(tmp_path):
+    from lindero.sources import artifacts
+
+    note, seen = tmp_path / "status.json", []
+    got = artifacts.run_stages([("a", lambda: seen.append(json.loads(note.read_text()))), ("b", lambda: 1 / 0), ("c", lambda: None)], note)
+    assert seen[0]["state"] == "RUNNING" and [s["state"] for s in got] == ["SUCCEEDED", "FAILED", "PENDING"] and json.loads(note.read_text())["state"] == "FAILED"
+    artifacts.run_stages([("a", lambda: None)], note)
+    assert json.loads(note.read_text()) == {"schemaVersion": 1, "state": "SUCCEEDED", "stages": [{"stage": "a", "state": "SUCCEEDED"}]}
+
+
+def test_purge(tmp_path):
+    from lindero.sources import artifacts
+
+    for name, end in (("old", "2026-01-01"), ("now", "2026-08-01"), ("new", "2027-01-01")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "manifest.json").write_text(json.dumps({"expiresAt": end}))
+    assert [p.name for p in artifacts.purge([tmp_path], "2026-08-01")] == ["now", "old"] and (tmp_path / "old").exists()
+    artifacts.purge([tmp_path], "2026-08-01", apply=True)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["new"]
+
+
+def test_blank_required_field(spark, tmp_path):
+    from lindero.sources import readers
+
+    (tmp_path / "a.csv").write_text("id,name\n1,A\n2, \n")
+    assert readers.read_delimited_strict(spark, str(tmp_path / "a.csv"), ["id", "name"], required=("id",)).count() == 2
+    with pytest.raises(Exception, match="row 3 has an empty name"):
+        readers.read_delimited_strict(spark, str(tmp_path / "a.csv"), ["id", "name"], required=("name",)).collect()
+
+
+def test_streams(spark, tmp_path):
+    from lindero.streaming import feeds
+
+    rows = spark.createDataFrame([(i, i % 3, f"2024-01-01 0{i % 4}:30:00") for i in range(40)], "id int, k int, t string").withColumn("t", F.to_timestamp("t"))
+    rows.repartition(4).write.parquet(str(tmp_path / "in"))
+    read = lambda: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for _ in range(2):  # the second run finds nothing new
+        feeds.write_once(read(), str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(40))
+    counts = feeds.window_counts(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), "t", "k", "1 hour", "1 hour")
+    q = counts.writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    want = {(str(r.w.start), r.k): r.n for r in rows.groupBy(F.window("t", "1 hour").alias("w"), "k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {(str(r.w.start), r.k): r.n for r in spark.table("windows").collect()} == want
+    kept = feeds.with_expiry(rows, "t").select("t", "expires_at").first()
+    assert (kept.expires_at - kept.t).days == 90
