@@ -41,7 +41,7 @@ from .components import components
 
 BUCKET_BITS = 16
 PARTS = 64
-CHUNK, CHUNK_BYTES = 1024, 16 << 20
+CHUNK, CHUNK_BYTES = 1024, 4 << 20
 LEADERS = 4
 MU = 0.02
 
