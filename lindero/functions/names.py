@@ -31,11 +31,25 @@ def flexible_match(canonical: str, observed: str) -> Column:
         THEN {make(INITIALS, 2, f"{walk}.exact", f"{walk}.initial")} END""")
 
 
+def blocking_keys(name: Column, canonical: bool) -> Column:
+    """Keys of a name such that related names share one: the name itself, every two of its words (a part of a name has two
+    words or more), and every word with the first letter of another one (with another word of one letter, if observed), as
+    initials stand beside a word that is written out. So bearers of one common word alone never meet."""
+    words = F.filter(F.split(name, " "), lambda t: t != "")
+    several = F.array_sort(F.array_distinct(words))
+    two = F.flatten(F.transform(several, lambda t, i: F.transform(F.slice(several, i + 2, F.size(several)), lambda u: F.concat(F.lit("&"), t, F.lit(" "), u))))
+
+    def beside(t: Column, i: Column) -> Column:
+        others = F.filter(F.transform(words, lambda u, j: F.struct(u.alias("u"), j.alias("j"))), lambda x: (x["j"] != i) & (F.lit(canonical) | (F.char_length(x["u"]) == 1)))
+        return F.transform(others, lambda x: F.concat(F.lit("."), t, F.lit(" "), F.left(x["u"], F.lit(1))))
+
+    return F.array_distinct(F.concat(F.array(F.concat(F.lit("="), name)), two, F.flatten(F.transform(words, beside))))
+
+
 def blocked_pairs(left: DataFrame, right: DataFrame, left_id: str, left_name: str, right_id: str, right_name: str) -> DataFrame:
-    """Pairs that share a word, of one letter or more: every flexible relation needs one, so an equi-join on words loses none."""
-    token = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.col(c), " "), lambda t: t != ""))).alias("_t")
-    a = left.select(left_id, left_name, token(left_name))
-    b = right.select(right_id, right_name, token(right_name))
+    """Pairs of a canonical and an observed name that share a key: every flexible relation needs one, so none is lost."""
+    a = left.select(left_id, left_name, F.explode(blocking_keys(F.col(left_name), True)).alias("_t"))
+    b = right.select(right_id, right_name, F.explode(blocking_keys(F.col(right_name), False)).alias("_t"))
     return a.join(b, "_t").drop("_t").distinct()
 
 

@@ -232,3 +232,16 @@ def test_blocking_loses_no_single_letters(spark):
     crossed = a.crossJoin(b).withColumn("match", names.flexible_match("c", "o")).where("match IS NOT NULL")
     assert found == {(r.c, r.o, r.match.kind) for r in crossed.collect()}
     assert ("X PEREZ", "X P", names.INITIALS) in found and ("A B", "A B", names.EXACT) in found
+
+
+def test_blocking_loses_no_relation(spark):
+    import random
+
+    rng = random.Random(7)
+    name = lambda: " ".join(rng.choice(["ANA", "ADA", "PAZ", "SOL", "A", "P", "S", "PAULA", "ROCA", "R"]) for _ in range(rng.randint(1, 5)))
+    a, b = (spark.createDataFrame([(i, name()) for i in range(150)], f"{k}id long, {k} string") for k in "co")
+    found = {(r.cid, r.oid, r.match.kind) for r in names.flexible_pairs(a, b, "cid", "c", "oid", "o").collect()}
+    crossed = a.crossJoin(b).withColumn("match", names.flexible_match("c", "o")).where("match IS NOT NULL")
+    assert found == {(r.cid, r.oid, r.match.kind) for r in crossed.collect()} and len({k for _, _, k in found}) == 3
+    met = names.blocked_pairs(a.where("c = 'ANA PAZ' OR cid < 0").union(spark.createDataFrame([(900, "ANA PAZ")], "cid long, c string")), spark.createDataFrame([(901, "ANA ROCA")], "oid long, o string"), "cid", "c", "oid", "o")
+    assert met.count() == 0  # one common word is no reason to meet
