@@ -3,16 +3,16 @@
 Two foldings, by tables built from the Unicode data: ``fold`` is compatibility decomposition without marks (ligatures,
 fractions and the like become several characters), ``fold_canonical`` canonical decomposition, which leaves those as they
 are. Letters that decompose to one base letter are translated; rows with a character that becomes several are told by
-a pattern and take a second, slower way, all inside the JVM. Precomposed Hangul, which no name here has, stays composed;
+taking those out, and go a second, slower way, all inside the JVM. Precomposed Hangul, which no name here has, stays composed;
 ``fold_exact``, an Arrow function, folds that too.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -48,14 +48,20 @@ def _tables(form: str) -> tuple[str, str, dict[str, str]]:
     return "".join(frm), "".join(to), several
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used: written out, nested uses multiply."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
 def _fold(c: Column, form: str, marks: str) -> Column:
     frm, to, several = _tables(form)
-    short = F.regexp_replace(F.translate(c, frm, to), marks, "")
+    short = lambda x: F.regexp_replace(F.translate(x, frm, to), marks, "")
     if not several:
-        return short
+        return short(c)
     table = F.from_json(F.lit(json.dumps(several, ensure_ascii=False)), "map<string,string>")
-    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    return F.when(c.rlike("[" + "".join(map(re.escape, several)) + "]"), F.regexp_replace(F.translate(spelled, frm, to), marks, "")).otherwise(short)
+    rare = lambda x: F.char_length(F.translate(x, "".join(several), "")) != F.char_length(x)
+    spelled = lambda x: F.array_join(F.transform(F.split(x, ""), lambda y: F.coalesce(F.try_element_at(table, y), y)), "")
+    return let(c, lambda v: short(F.when(rare(v), spelled(v)).otherwise(v)))
 
 
 def fold(c: Column) -> Column:
@@ -87,9 +93,9 @@ def words(c: Column) -> Column:
 def person_name(c: Column) -> Column:
     """Comparison key of a name: notes and leading honorifics go, 'surname, given' is turned round, all words stay."""
     bare = F.regexp_replace(fold(squeeze(F.regexp_replace(c, r"\([^)]*\)", " "))), HONORIFICS, "")
-    parts = F.filter(F.transform(F.split(bare, ","), squeeze), lambda p: p != "")
-    turned = F.when(F.size(parts) == 2, F.concat_ws(" ", F.element_at(parts, 2), F.element_at(parts, 1))).otherwise(bare)
-    return words(F.upper(turned))
+    parts = lambda b: F.filter(F.transform(F.split(b, ","), squeeze), lambda p: p != "")
+    turned = lambda b: let(parts(b), lambda p: F.when(F.size(p) == 2, F.concat_ws(" ", F.element_at(p, 2), F.element_at(p, 1))).otherwise(b))
+    return words(F.upper(let(bare, turned)))
 
 
 def identity_name(c: Column) -> Column:

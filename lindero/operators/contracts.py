@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import person_name, squeeze
+from ..functions.text import let, person_name, squeeze
 
 # Keys that no professional row may have, registry values, extraction methods, shapes of ids, stand-ins.
 FORBIDDEN_KEYS = ("documentNumber", "documento", "cedula", "cédula", "email", "phone")
@@ -182,11 +182,10 @@ def article_violations(restricted: Column) -> Column:
     """What an article violates by itself. Columns: schema_version, article_id, headline, names, publisher, url, published_at,
     retrieved_at, extracted_at (canonical instants as text), content_sha256, method, extractor_version."""
     c = F.col
-    keys = F.transform("names", person_name)
-    short = F.exists(keys, lambda k: F.size(F.filter(F.split(k, " "), lambda w: w != "")) < 2)
+    short = lambda keys: F.exists(keys, lambda k: F.size(F.filter(F.split(k, " "), lambda w: w != "")) < 2) | (F.size(F.array_distinct(keys)) != F.size(keys))
     return codes(
         (~F.coalesce(c("schema_version") == 1, F.lit(False)), "SCHEMA_VERSION"), (~F.coalesce(c("article_id").rlike(ARTICLE_ID), F.lit(False)), "ARTICLE_ID"), (~is_text(c("headline")) | (F.char_length("headline") > 1000), "HEADLINE"),
-        (F.coalesce(F.size("names") < 1, F.lit(True)) | F.exists("names", lambda n: ~is_text(n)), "NAMES"), (short | (F.size(F.array_distinct(keys)) != F.size(keys)), "NAMES_NOT_UNIQUE_OR_SHORT"), (restricted, "HEADLINE_RESTRICTED"),
+        (F.coalesce(F.size("names") < 1, F.lit(True)) | F.exists("names", lambda n: ~is_text(n)), "NAMES"), (let(F.transform("names", person_name), short), "NAMES_NOT_UNIQUE_OR_SHORT"), (restricted, "HEADLINE_RESTRICTED"),
         (~is_instant(c("published_at")) | ~is_instant(c("retrieved_at")) | ~is_instant(c("extracted_at")), "INSTANT"), (c("retrieved_at") < c("published_at"), "RETRIEVED_BEFORE_PUBLISHED"), (c("extracted_at") < c("retrieved_at"), "EXTRACTED_BEFORE_RETRIEVED"),
         (~F.coalesce(c("method").isin(*METHODS), F.lit(False)), "METHOD"), (~is_https(c("url")), "URL"), (~is_sha256(c("content_sha256")), "CONTENT_SHA256"), (~is_text(c("publisher")) | ~is_text(c("extractor_version")), "EMPTY_FIELD"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import mask_names, person_name, policy_key
+from ..functions.text import let, mask_names, person_name, policy_key
 from .dedupe import keep_first
 
 # Word beginnings and phrases by which a headline is restricted.
@@ -65,17 +65,17 @@ def closed_benign(key: Column, names: Column) -> Column:
     """Whether a normalised headline, its names masked, has one of the closed forms as a whole, with as many masks as names."""
     one = rf"(?:(?:el|la) )?(?:(?:dr|dra|doctor|doctora|{ROLE}) )?professional"
     subject = rf"{one}(?: y {one}){{0,3}}"
-    masked = mask_names(key, names)
-    count = F.size(F.filter(F.split(masked, " "), lambda w: w == "professional"))
-    return (F.size(names) > 0) & (count == F.size(names)) & masked.rlike(f"^{subject} (?:" + "|".join(BENIGN) + ")$")
+    count = lambda masked: F.size(F.filter(F.split(masked, " "), lambda w: w == "professional"))
+    whole = lambda n: lambda masked: (F.size(n) > 0) & (count(masked) == F.size(n)) & masked.rlike(f"^{subject} (?:" + "|".join(BENIGN) + ")$")
+    return let(names, lambda n: let(mask_names(key, n), whole(n)))
 
 
 def headline_reasons(headline: Column, names: Column, classes=CLASSES) -> Column:
     """Why a headline is restricted, in order; none only for a closed benign form around the names found in it. ``names`` are
     the mentions as they stand."""
-    found = sensitive_classes(policy_key(headline), classes)
     lower = F.transform(names, lambda n: F.lower(person_name(n)))
-    return F.when((F.size(found) > 0) | closed_benign(policy_key(headline), lower), found).otherwise(F.array(F.lit(NOT_BENIGN)))
+    judged = lambda key: lambda found: F.when((F.size(found) > 0) | closed_benign(key, lower), found).otherwise(F.array(F.lit(NOT_BENIGN)))
+    return let(policy_key(headline), lambda key: let(sensitive_classes(key, classes), judged(key)))
 
 
 def context_token_match(a: Column, b: Column) -> Column:
