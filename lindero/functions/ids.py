@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import fold
+from .text import fold, let
 
 
 def composite_id(prefix: str, *parts: Column, length: int = 24, separator: str = "\x00") -> Column:
@@ -72,19 +72,27 @@ def resolve(href: Column, base: Column) -> Column:
     whole = F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(F.regexp_extract(page, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), h))
     whole = whole.when(h.startswith("/"), F.concat(origin, h)).when(h == "", base).when(h.startswith("?"), F.concat(page, h)).when(h.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), h))
     whole = whole.otherwise(F.concat(origin, folder, h))
-    head, tail = F.regexp_extract(whole, "^([^?#]*)", 1), F.regexp_extract(whole, "^[^?#]*(.*)$", 1)
-    start = F.regexp_extract(head, "^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
-    parts = F.split(F.substring(head, F.char_length(start) + 1, F.char_length(head)), "/")
-    zero = F.array().cast("array<string>")
-    kept = F.aggregate(F.filter(parts, lambda x: x != "."), zero, lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.concat(a, F.array(x))))
-    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    return F.when(start == "", whole).otherwise(F.concat(start, F.array_join(kept, "/"), tail))
+    return let(whole, _without_dots)
+
+
+def _without_dots(url: Column) -> Column:
+    """The address without dot segments, as it is if it has no authority."""
+    start, tail = F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1), F.regexp_extract(url, "^[^?#]*(.*)$", 1)
+    parts = F.split(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), "/")
+    step = lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.concat(a, F.array(x)))
+
+    def joined(p: Column) -> Column:
+        kept = F.aggregate(F.filter(p, lambda x: x != "."), F.array().cast("array<string>"), step)
+        last = F.when(F.element_at(p, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.array_join(F.concat(kept, last), "/")
+
+    return F.when(start == "", url).otherwise(F.concat(start, let(parts, joined), tail))
 
 
 def article_url(href: Column, base: Column, hosts: list[str]) -> Column:
     """The canonical address of an article, if it is https and of one of the hosts; else null."""
-    url = canonical_url(resolve(href, base))
-    return F.when(F.lower(F.parse_url(url, F.lit("HOST"))).isin(*[h.lower() for h in hosts]), url)
+    allowed = [h.lower() for h in hosts]
+    return let(canonical_url(resolve(href, base)), lambda url: F.when(F.lower(F.parse_url(url, F.lit("HOST"))).isin(*allowed), url))
 
 
 def encode_cursor(name: str, public_id: str) -> str:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -107,9 +108,13 @@ def cell(node: Node) -> str:
     return " | ".join(x for x in map(line, node.text().split("\n")) if x)
 
 
-def _key(text: str) -> str:
-    import unicodedata
+def _header(text: str) -> str:
+    """``header_key`` of a constant."""
+    bare = "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c)[0] != "M" and c not in "^`´¨")
+    return " ".join(re.findall(r"[^\W_]+", bare)).lower()
+
 
+def _key(text: str) -> str:
     bare = "".join(c for c in unicodedata.normalize("NFD", text) if not 0x300 <= ord(c) <= 0x36F)
     return re.sub("[^a-z0-9]+", " ", bare.lower()).strip()
 
@@ -236,14 +241,13 @@ def exploded(pages: DataFrame, key: str, html: str, parse: Callable[[str], list[
 def roster(rows: DataFrame, headers: Column, cells: Column, columns: dict[str, list[str]]) -> DataFrame:
     """Rows of schedule tables as records: the named columns by any of their headers (folded), '' where a table has none, and
     ``weekly``, the days that have hours. Rows without a name and a specialty are left out."""
-    keys = F.transform(headers, header_key)
-    folded = lambda alias: header_key(F.lit(alias))
+    rows = rows.withColumn("_keys", F.transform(headers, header_key))
 
     def at(aliases) -> Column:
-        found = [F.nullif(F.array_position(keys, folded(a)).cast("int"), F.lit(0)) for a in aliases]
+        found = [F.nullif(F.array_position("_keys", _header(a)).cast("int"), F.lit(0)) for a in aliases]
         return F.coalesce(*found) if found else F.lit(None).cast("int")
 
     value = lambda aliases: F.coalesce(F.get(cells, at(aliases) - 1), F.lit(""))
     days = [F.struct(F.lit(d).alias("day"), F.coalesce(F.get(headers, at(alias) - 1), F.lit(label)).alias("label"), value(alias).alias("value")) for d, label, alias in WEEKDAYS]
     out = rows.select("*", *[value(a).alias(n) for n, a in columns.items()], F.filter(F.array(*days), lambda d: d["value"] != "").alias("weekly"))
-    return out.where("professional_name <> '' OR specialty <> ''")
+    return out.where("professional_name <> '' OR specialty <> ''").drop("_keys")
