@@ -142,7 +142,11 @@ def token_multiset(key: Column) -> Column:
 
 
 def specialty_consistent(specialty: Column, title: Column) -> Column:
-    a, b = credential(specialty), credential(title)
+    return credentials_consistent(credential(specialty), credential(title))
+
+
+def credentials_consistent(a: Column, b: Column) -> Column:
+    """``specialty_consistent`` of two ``credential`` keys, for pairs of rows whose keys were worked out before."""
     return (F.length(a) >= 4) & ~a.isin(*GENERIC_CREDENTIALS) & (F.contains(a, b) | F.contains(b, a))
 
 

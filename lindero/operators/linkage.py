@@ -55,6 +55,24 @@ def abstain(candidates: DataFrame) -> DataFrame:
     return candidates.withColumns({"resolution": F.lit("ABSTAINED"), "reason": reason[F.col("status")], "visibility": F.lit("not_public")})
 
 
+#: Into so many parts the rows of a name are dealt; each meets all rows of the name.
+SPREAD = 16
+
+
+def same_name_pairs(rows: DataFrame, id_col: str, key: str, *fields: str) -> DataFrame:
+    """Pairs a, b of rows of one key, a's id the smaller: structs of the id and the fields. The fields should be final,
+    since a pair is where work is dearest. A hot name goes to several tasks."""
+    side = rows.select(F.col(key).alias("_key"), id_col, *fields)
+    a = side.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(SPREAD)).cast("int"))
+    b = side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    # pairs grow with the square of a name, so their tasks aren't merged by the bytes that they read
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = (x.repartition(n, "_key", "_part").alias(s) for x, s in ((a, "a"), (b, "b")))
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_key", "_part")]
+    found = a.join(b.hint("merge"), [*same, F.col(f"a.{id_col}") < F.col(f"b.{id_col}")])
+    return found.select(*[F.struct(*[f"{s}.{c}" for c in (id_col, *fields)]).alias(s) for s in ("a", "b")])
+
+
 def profiles(registry: DataFrame, resolutions: DataFrame, key: str, item: str) -> DataFrame:
     """Every registry row with its sorted resolutions, empty where it has none."""
     held = resolutions.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))

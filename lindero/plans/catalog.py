@@ -122,10 +122,9 @@ def abstained_resolutions(spark, sf_dir):
 FROM part a JOIN part b ON array_to_string(list_sort(string_split(a.p_name, ' ')), ' ') = array_to_string(list_sort(string_split(b.p_name, ' ')), ' ') AND a.p_partkey < b.p_partkey""")
 def linkage_evidence(spark, sf_dir):
     """Pairs of one name, whatever their brands."""
-    part = _t(spark, sf_dir, "part").withColumn("k", text.token_multiset(F.lower("p_name")))
-    a, b = part.alias("a"), part.alias("b")
-    out = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
-    return out.select(F.col("a.p_partkey").alias("part_a"), F.col("b.p_partkey").alias("part_b"), (F.col("a.p_name") == F.col("b.p_name")).alias("ordered"), text.specialty_consistent(F.col("a.p_type"), F.col("b.p_type")).alias("consistent"))
+    part = _t(spark, sf_dir, "part").withColumns({"k": text.token_multiset(F.lower("p_name")), "title": text.credential(F.col("p_type"))})
+    out = linkage.same_name_pairs(part, "p_partkey", "k", "p_name", "title")
+    return out.select(F.col("a.p_partkey").alias("part_a"), F.col("b.p_partkey").alias("part_b"), (F.col("a.p_name") == F.col("b.p_name")).alias("ordered"), text.credentials_consistent(F.col("a.title"), F.col("b.title")).alias("consistent"))
 
 
 @query("""SELECT 'supplier' AS institution, s_suppkey AS record_id, trim(s_name) AS display_name FROM supplier UNION ALL SELECT 'customer', c_custkey, trim(c_name) FROM customer UNION ALL SELECT 'part', p_partkey, coalesce(nullif(trim(p_name), ''), p_brand) FROM part""")
