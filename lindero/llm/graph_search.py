@@ -5,8 +5,8 @@ it; so a vector that a third of all rows share is one node. Distinct vectors are
 with the table, from ``SHARD_ROWS`` to ``MOST_ROWS`` vectors, so that their number, and with it the searches of a query,
 stays near ``SHARDS`` until then. Each shard's graph is built by greedy searches that propose neighbours and by robust
 pruning: of the candidates, nearest first, one is kept unless a kept one is ``ALPHA`` times nearer to it; entries are
-spread by taking the farthest again and again. All queries meet every shard in blocks, where beam search runs for all
-queries of a block in step; a shard with no more vectors than the beam is wide is searched whole. Vectors are
+spread by taking the farthest again and again. All queries meet every shard in packs of about ``PACK``, each with a copy of
+the shard, where beam search runs for ``BLOCK`` queries in step; a shard with no more vectors than the beam is wide is searched whole. Vectors are
 compared in double precision, so near copies are told apart, and scores are computed on the original vectors, scaled by
 powers of two against overflow. Graphs are written to the shared folder once, so a lost executor costs a task.
 
@@ -33,6 +33,7 @@ BEAM = 64
 ALPHA = 1.2
 ENTRIES = 16
 BLOCK = 256
+PACK = 4096
 
 
 def scaled(v: np.ndarray) -> np.ndarray:
@@ -142,7 +143,8 @@ def nearest(queries: np.ndarray, own: np.ndarray, nodes: np.ndarray, ids: np.nda
     if len(nodes) <= BEAM:
         found = np.broadcast_to(np.arange(len(nodes)), (len(queries), len(nodes)))
     else:
-        found, _ = beam(unit(nodes), graph, entries, unit(queries), BEAM)
+        vec, asked = unit(nodes), unit(queries)
+        found = np.concatenate([beam(vec, graph, entries, asked[lo : lo + BLOCK], BEAM)[0] for lo in range(0, len(asked), BLOCK)])
     out = []
     nodes, queries = scaled(nodes), scaled(queries)
     length = np.linalg.norm(nodes, axis=1)
@@ -182,8 +184,8 @@ def search(rows: DataFrame, every: int = 50, k: int = 5, shard_rows: int | None
 
     index = materialize(nodes.groupBy("shard", "dim").applyInPandas(make, "shard int, dim int, nodes binary, ids binary, begin binary, degree int, graph binary, entries binary"))
     asked = materialize(rows.where(F.pmod("vec_id", F.lit(every)) == 0))
-    blocks = max(1, -(-asked.count() // BLOCK))
-    asked = asked.groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
+    packs = max(1, -(-asked.count() // PACK))
+    asked = asked.groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(packs)).alias("pack")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,8 +196,9 @@ def search(rows: DataFrame, every: int = 50, k: int = 5, shard_rows: int | None
                 got = nearest(np.stack([np.asarray(q["embedding"], float) for q in r.queries]), own, read(r.nodes, "<f8").reshape(-1, r.dim), read(r.ids, "<i8"), read(r.begin, "<i8"), read(r.graph, "<i4").reshape(-1, r.degree), read(r.entries, "<i4"), k)
                 yield pd.DataFrame(got, columns=["query_id", "vec_id", "score"])
 
-    met = asked.join(index, ["shard", "dim"])
-    found = met.repartition(max(1, min(shards * blocks, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))), "shard", "block").mapInPandas(find, "query_id long, vec_id long, score double")
+    # Spark's estimate of the queries is that of one shard, so it would send them to the driver, times the shards
+    met = asked.join(index.hint("merge"), ["shard", "dim"])
+    found = met.repartition(max(1, min(shards * packs, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))), "shard", "pack").mapInPandas(find, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
