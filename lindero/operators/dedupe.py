@@ -41,6 +41,28 @@ def competing(df: DataFrame, key: list[str], id_col: str) -> DataFrame:
     return df.join(ids, key).withColumn("competing", F.array_remove("_ids", F.col(id_col))).drop("_ids")
 
 
+def competing_text(df: DataFrame, key: list[str], id_col: str, sep: str = "|") -> DataFrame:
+    """id, competing: all other ids of the same key, sorted, as one text. A key's ids are joined once, and each row takes out
+    its own, by bytes: neither arrays nor texts of ids are made for a row. The longest lists come first in every task: writers
+    look at their buffers now and then only, by the rows before, so that long rows after many short ones would fill memory."""
+    ids = df.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(id_col)), sep).cast("binary").alias("_all"))
+    ids = ids.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], "_all", (-F.length("_all")).alias("_order"))
+    order = Window.partitionBy(*key).orderBy(id_col)
+    size = F.length(F.col(id_col).cast("string").cast("binary"))
+    new = F.lag(id_col).over(order).isNull() & F.col(id_col).isNotNull() | (F.lag(id_col).over(order) != F.col(id_col))
+    rows = df.select(*key, id_col, size.alias("_size"), F.when(new, size + len(sep)).otherwise(0).cast("long").alias("_new"))
+    upto = rows.withColumn("_upto", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    length = Window.partitionBy(*key)
+    upto = upto.withColumn("_order", F.least(len(sep) - F.sum("_new").over(length), F.lit(0)).cast("int"))
+    same = [upto[k] == ids[f"_k{i}"] for i, k in enumerate(key)]
+    found = upto.join(ids.hint("merge"), [upto["_order"] == ids["_order"], *same]).select(id_col, "_all", "_size", "_upto")
+    before, after = F.col("_upto") - F.col("_size") - len(sep), F.col("_upto")
+    last = after > F.length("_all")
+    head = F.substring("_all", F.lit(1), F.when(last, F.greatest(before - len(sep), F.lit(0))).otherwise(before).cast("int"))
+    tail = F.substring("_all", (after + 1).cast("int"), F.length("_all"))
+    return found.select(id_col, F.concat(head, tail).cast("string").alias("competing"))
+
+
 def merge_by_key(df: DataFrame, key: str, order: list[str], first: list[str], union: str) -> DataFrame:
     """One row a key: the first row's metadata, and the union of an array column."""
     head = F.min_by(F.struct(*first), F.struct(*order)).alias("_first")

@@ -235,7 +235,7 @@ def best_match(spark, sf_dir):
 @query("SELECT p_partkey, array_to_string(list_sort(list_filter(list(p_partkey) OVER (PARTITION BY p_name), lambda x: x <> p_partkey)), '|') AS competing FROM part")
 def competing_ids(spark, sf_dir):
     """All other ids of the name, whatever their brands."""
-    return dedupe.competing(_t(spark, sf_dir, "part"), ["p_name"], "p_partkey").select("p_partkey", _joined("competing").alias("competing"))
+    return dedupe.competing_text(_t(spark, sf_dir, "part"), ["p_name"], "p_partkey")
 
 
 @query("""WITH k AS (SELECT unnest(['EXACT_NORMALIZED_NAME', 'PARTIAL_TOKEN_SUBSET', 'INITIALS_TOKEN_SUBSEQUENCE']) AS kind), e AS (SELECT event_id, kind, value / 1000.0 AS cov, event_type = 'click' AS amb, user_id % 2 = 0 AS med, user_id % 3 = 0 AS cor FROM events CROSS JOIN k)

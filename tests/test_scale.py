@@ -3,7 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from lindero.operators import linkage
+from lindero.operators import dedupe, linkage
 from lindero.plans import catalog
 
 from .conftest import DATA
@@ -24,3 +24,19 @@ def test_pairs_of_a_name_work_nothing_out(spark):
     rows = spark.createDataFrame(pd.DataFrame({"id": range(300), "k": ["hot"] * 299 + ["cold"], "f": range(300)}))
     got = linkage.same_name_pairs(rows, "id", "k", "f").select("a.id", F.col("b.id").alias("other"), F.spark_partition_id().alias("p")).collect()
     assert sorted((r[0], r[1]) for r in got) == [(i, j) for i in range(299) for j in range(i + 1, 299)] and len({r.p for r in got}) > 1
+
+
+def test_competing_text(spark):
+    """Once a name, not once a row, are ids joined; repeated and missing ids, keys of one id, and the ends of a list."""
+    df = catalog.QUERIES["competing_ids"](spark, DATA)
+    plan = optimized(df)
+    join = next(i for i, x in enumerate(plan) if "Join " in x)
+    assert not [x for x in plan[: join + 1] if "array_join(" in x or "array_remove(" in x]
+    same_as_sql(df, catalog.ORACLES["competing_ids"], DATA)
+    rows = [(i, "hot") for i in (7, 9, 10, 11, 100, 9999, -3)] + [(10, "hot"), (100, "hot"), (5, "one"), (6, "two"), (8, "two"), (4, None), (None, "hot"), (None, "none")]
+    table = spark.createDataFrame(rows, "id long, k string")
+    want = dedupe.competing(table, ["k"], "id").select("id", F.array_join("competing", "|"))
+    text = lambda df: sorted(map(str, df.collect()))
+    got = dedupe.competing_text(table, ["k"], "id")
+    assert [tuple(r) for r in got.where("id = 10").collect()] == [(10, "-3|7|9|11|100|9999")] * 2
+    assert text(got.toDF("a", "b")) == text(want.toDF("a", "b"))
