@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import physician_key
@@ -17,6 +17,41 @@ def with_schedules(records: DataFrame, schedules: DataFrame) -> DataFrame:
     return out.withColumn("schedule_type", F.when(F.size("schedule_ids") > 0, "published_on_center_page").otherwise("not_published_on_source"))
 
 
+#: Bytes from which a list of schedules is long.
+LONG = 32 << 10
+#: Tasks for long lists.
+MOST = 2048
+
+
+def with_schedule_text(records: DataFrame, schedules: DataFrame, sep: str = "|") -> DataFrame:
+    """``with_schedules`` with the ids as one text, ``schedules``, made once a center and physician.
+
+    All records of a long list go to one task, which has no other long list unless there are more than ``MOST`` of them. A
+    file then holds the list once, in its dictionary. Several in a task would leave the dictionary, and writers notice that
+    only after up to 10,000 rows of such a length. Records without a long list join by key."""
+    key = ["center_url", "_who"]
+    held = schedules.where("record_id IS NOT NULL").groupBy(F.col("requested_url").alias("center_url"), physician_key(F.col("physician")).alias("_who"))
+    held = held.agg(F.array_join(F.array_sort(F.collect_set("record_id")), sep).alias("schedules")).where("center_url IS NOT NULL AND _who IS NOT NULL")
+    size = F.length(F.col("schedules").cast("binary"))
+    records = records.withColumn("_who", physician_key(F.col("physician")))
+    kind = lambda df: df.withColumn("schedules", F.coalesce("schedules", F.lit(""))).withColumn("schedule_type", F.when(F.col("schedules") != "", "published_on_center_page").otherwise("not_published_on_source"))
+    long = held.where(size > LONG).select(*key)
+    n = min(MOST, long.count())
+    if not n:
+        return kind(records.join(held, key, "left").drop("_who"))
+    # numbers whose hashes are the tasks 0 to n - 1, so that Spark's own dealing by hash puts each list where it should be
+    spark = records.sparkSession
+    number = spark.range(64 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("_task")).agg(F.array_sort(F.collect_list("id")).alias("_ids"))
+    place = long.withColumn("_i", F.row_number().over(Window.orderBy(*key)) - 1).withColumn("_task", F.col("_i") % n)
+    place = place.join(F.broadcast(number), "_task", "left")
+    place = place.select(*key, F.try_element_at("_ids", (F.floor(F.col("_i") / n) + 1).cast("int")).alias("_to"))
+    placed = records.join(F.broadcast(place), key, "left")
+    few = placed.where("_to IS NULL").drop("_to").join(held.join(F.broadcast(place.where("_to IS NOT NULL").select(*key)), key, "left_anti"), key, "left")
+    lists = held.join(F.broadcast(place.where("_to IS NOT NULL")), key).select("_to", "schedules")
+    many = placed.where("_to IS NOT NULL").repartition(n, "_to").join(lists.repartition(n, "_to").hint("merge"), "_to").drop("_to")
+    return kind(few.unionByName(many).drop("_who"))
+
+
 def centers(records: DataFrame) -> DataFrame:
     """Per center url the least non-empty address and name in Spanish order, '' where there is none."""
     least = lambda c: F.coalesce(F.min(F.collate(F.nullif(F.col(c), F.lit("")), "es")).cast("string"), F.lit(""))

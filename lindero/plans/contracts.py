@@ -446,8 +446,7 @@ def _records(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query(f"WITH {_RECORDS}, g AS (SELECT requested_url, physician, list_sort(list(record_id)) AS ids FROM s GROUP BY ALL) SELECT c_custkey, coalesce(array_to_string(ids, '|'), '') AS schedules, CASE WHEN ids IS NULL THEN 'not_published_on_source' ELSE 'published_on_center_page' END AS schedule_type FROM r LEFT JOIN g ON r.center_url = g.requested_url AND r.physician = 'Dr. ' || g.physician")
 def directory_schedules(spark, sf_dir):
-    out = directory.with_schedules(*_records(spark, sf_dir))
-    return out.select("c_custkey", _joined("schedule_ids").alias("schedules"), "schedule_type")
+    return directory.with_schedule_text(*_records(spark, sf_dir)).select("c_custkey", "schedules", "schedule_type")
 
 
 @query(f"WITH {_RECORDS}, g AS (SELECT DISTINCT requested_url, physician, record_id FROM s), u AS (SELECT DISTINCT g.record_id FROM r JOIN g ON r.center_url = g.requested_url AND r.physician = 'Dr. ' || g.physician) SELECT (SELECT count(*) FROM s)::BIGINT AS schedules, (SELECT count(*) FROM u)::BIGINT AS linked, ((SELECT count(*) FROM s) - (SELECT count(*) FROM u))::BIGINT AS unlinked")

@@ -3,12 +3,14 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from lindero.operators import dedupe, linkage
-from lindero.plans import catalog
+from lindero.operators import dedupe, directory, linkage
+from lindero.plans import catalog, contracts
 
 from .conftest import DATA
 from .oracle import same_as_sql
 
+assert contracts  # adds its queries
+
 
 def optimized(df) -> list[str]:
     return df._jdf.queryExecution().optimizedPlan().toString().split("\n")
@@ -40,3 +42,20 @@ def test_competing_text(spark):
     got = dedupe.competing_text(table, ["k"], "id")
     assert [tuple(r) for r in got.where("id = 10").collect()] == [(10, "-3|7|9|11|100|9999")] * 2
     assert text(got.toDF("a", "b")) == text(want.toDF("a", "b"))
+
+
+def test_long_schedules_have_tasks_of_their_own(spark, monkeypatch):
+    """Lists are joined once, not once a record; no task has two long ones; nothing is lost, whatever counts as long."""
+    query, sql = catalog.QUERIES["directory_schedules"], catalog.ORACLES["directory_schedules"]
+    for most, long in ((2048, 32 << 10), (2048, 28), (3, 20), (2048, 0)):
+        monkeypatch.setattr(directory, "MOST", most)
+        monkeypatch.setattr(directory, "LONG", long)
+        df = query(spark, DATA)
+        plan = optimized(df)
+        join = next(i for i, x in enumerate(plan) if "Join " in x)
+        assert not [x for x in plan[: join + 1] if "array_join(" in x]
+        same_as_sql(df, sql, DATA)
+        if most > 3 and long < 1000:
+            rows = [r for r in df.select("schedules", F.spark_partition_id().alias("p")).collect() if len(r.schedules) > long]
+            lists = {(r.p, r.schedules) for r in rows}
+            assert rows and len(lists) == len({x[0] for x in lists}) == len({x[1] for x in lists})
