@@ -41,12 +41,19 @@ def competing(df: DataFrame, key: list[str], id_col: str) -> DataFrame:
     return df.join(ids, key).withColumn("competing", F.array_remove("_ids", F.col(id_col))).drop("_ids")
 
 
+#: Over at most so many tasks the rows of a key are dealt, one for each LIST bytes of its list.
+SPREAD, LIST = 16, 8192
+
+
 def competing_text(df: DataFrame, key: list[str], id_col: str, sep: str = "|") -> DataFrame:
     """id, competing: all other ids of the same key, sorted, as one text. A key's ids are joined once, and each row takes out
-    its own, by bytes: neither arrays nor texts of ids are made for a row. The longest lists come first in every task: writers
-    look at their buffers now and then only, by the rows before, so that long rows after many short ones would fill memory."""
+    its own, by bytes: neither arrays nor texts of ids are made for a row. The rows of a long list are dealt over several
+    tasks, as they grow with the square of a key's ids. The longest lists come first in every task: writers look at their
+    buffers now and then only, by the rows before, so that long rows after many short ones would fill memory."""
+    parts = F.least(F.lit(SPREAD), (1 - F.col("_order") / LIST).cast("int"))
     ids = df.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(id_col)), sep).cast("binary").alias("_all"))
     ids = ids.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], "_all", (-F.length("_all")).alias("_order"))
+    ids = ids.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     order = Window.partitionBy(*key).orderBy(id_col)
     size = F.length(F.col(id_col).cast("string").cast("binary"))
     new = F.lag(id_col).over(order).isNull() & F.col(id_col).isNotNull() | (F.lag(id_col).over(order) != F.col(id_col))
@@ -54,8 +61,12 @@ def competing_text(df: DataFrame, key: list[str], id_col: str, sep: str = "|") -
     upto = rows.withColumn("_upto", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     length = Window.partitionBy(*key)
     upto = upto.withColumn("_order", F.least(len(sep) - F.sum("_new").over(length), F.lit(0)).cast("int"))
-    same = [upto[k] == ids[f"_k{i}"] for i, k in enumerate(key)]
-    found = upto.join(ids.hint("merge"), [upto["_order"] == ids["_order"], *same]).select(id_col, "_all", "_size", "_upto")
+    upto = upto.withColumn("_part", F.pmod(F.xxhash64(id_col), parts).cast("int"))
+    # what is written has little to do with what is read, so tasks aren't merged by the bytes that they read
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids, upto = ids.repartition(n, "_order", *[f"_k{i}" for i in range(len(key))], "_part"), upto.repartition(n, "_order", *key, "_part")
+    same = [upto["_order"] == ids["_order"], *[upto[k] == ids[f"_k{i}"] for i, k in enumerate(key)], upto["_part"] == ids["_part"]]
+    found = upto.join(ids.hint("merge"), same).select(id_col, "_all", "_size", "_upto")
     before, after = F.col("_upto") - F.col("_size") - len(sep), F.col("_upto")
     last = after > F.length("_all")
     head = F.substring("_all", F.lit(1), F.when(last, F.greatest(before - len(sep), F.lit(0))).otherwise(before).cast("int"))

@@ -38,6 +38,14 @@ def _joined(c: Column | str, sep: str = "|") -> Column:
     return F.array_join(c, sep)
 
 
+def _far_repeats(spark: SparkSession) -> None:
+    """For results whose rows repeat each other farther apart than the 64 KB in which snappy, Spark's default, looks: their
+    Parquet files are written with zstd, which looks 2 MB back. The codec is a session's, read when files are written; one
+    that the session was given stays."""
+    if (codec := "spark.sql.parquet.compression.codec") not in spark.conf.getAll:
+        spark.conf.set(codec, "zstd")
+
+
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("html", TITLE, 1).alias("title"))
 
@@ -235,6 +243,7 @@ def best_match(spark, sf_dir):
 @query("SELECT p_partkey, array_to_string(list_sort(list_filter(list(p_partkey) OVER (PARTITION BY p_name), lambda x: x <> p_partkey)), '|') AS competing FROM part")
 def competing_ids(spark, sf_dir):
     """All other ids of the name, whatever their brands."""
+    _far_repeats(spark)
     return dedupe.competing_text(_t(spark, sf_dir, "part"), ["p_name"], "p_partkey")
 
 
