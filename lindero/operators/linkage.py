@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Statuses, and the reason why each abstains.
@@ -55,22 +57,33 @@ def abstain(candidates: DataFrame) -> DataFrame:
     return candidates.withColumns({"resolution": F.lit("ABSTAINED"), "reason": reason[F.col("status")], "visibility": F.lit("not_public")})
 
 
-#: Into so many parts the rows of a name are dealt; each meets all rows of the name.
-SPREAD = 16
+#: Into so many parts the rows of a name are dealt; each meets all rows of the name. A block has so many ids at most.
+SPREAD, BLOCK = 16, 128
+
 
+def same_name_pairs(rows: DataFrame, id_col: str, key: str, *fields: str, judge: Callable[[Column, Column], dict[str, Column]] | None = None) -> DataFrame:
+    """Pairs a, b of rows of one key, a's id the smaller: structs of the id and the fields, and what ``judge`` says of the
+    fields of a and b. A hot name goes to several tasks.
 
-def same_name_pairs(rows: DataFrame, id_col: str, key: str, *fields: str) -> DataFrame:
-    """Pairs a, b of rows of one key, a's id the smaller: structs of the id and the fields. The fields should be final,
-    since a pair is where work is dearest. A hot name goes to several tasks."""
-    side = rows.select(F.col(key).alias("_key"), id_col, *fields)
-    a = side.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(SPREAD)).cast("int"))
+    Rows of equal key and fields form blocks by id. Blocks meet, are judged once, and each id of one is paired with those of
+    the other: so a result, which grows with the square of a name, repeats itself at short distances and takes little disk."""
+    held = rows.select(F.col(key).alias("_key"), id_col, *fields).where(F.col(id_col).isNotNull())
+    order = Window.partitionBy("_key", *fields).orderBy(id_col)
+    held = held.withColumn("_block", F.floor((F.row_number().over(order) - 1) / BLOCK))
+    blocks = held.groupBy("_key", *fields, "_block").agg(F.sort_array(F.collect_list(id_col)).alias("_ids"))
+    side = blocks.select("_key", "_ids", F.struct(*fields, F.lit(None).cast("boolean").alias("_none")).alias("_fields"))
+    a = side.withColumn("_part", F.pmod(F.xxhash64("_ids"), F.lit(SPREAD)).cast("int"))
     b = side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     # pairs grow with the square of a name, so their tasks aren't merged by the bytes that they read
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a, b = (x.repartition(n, "_key", "_part").alias(s) for x, s in ((a, "a"), (b, "b")))
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_key", "_part")]
-    found = a.join(b.hint("merge"), [*same, F.col(f"a.{id_col}") < F.col(f"b.{id_col}")])
-    return found.select(*[F.struct(*[f"{s}.{c}" for c in (id_col, *fields)]).alias(s) for s in ("a", "b")])
+    met = a.join(b.hint("merge"), [*same, F.col("a._ids")[0] < F.element_at("b._ids", -1)])
+    said = judge(F.col("a._fields"), F.col("b._fields")) if judge else {}
+    met = met.select(*[F.col(f"{s}.{c}").alias(f"{s}{c}") for s in ("a", "b") for c in ("_ids", "_fields")], *[c.alias(k) for k, c in said.items()])
+    # coalesce changes no partition: it keeps the join's code apart, which else would hold all pairs of a block, not of two
+    found = met.coalesce(n).withColumn("a_id", F.explode("a_ids")).withColumn("b_id", F.explode("b_ids")).where("a_id < b_id")
+    return found.select(*[F.struct(F.col(f"{s}_id").alias(id_col), *[F.col(f"{s}_fields")[c].alias(c) for c in fields]).alias(s) for s in ("a", "b")], *said)
 
 
 def profiles(registry: DataFrame, resolutions: DataFrame, key: str, item: str) -> DataFrame:

@@ -39,9 +39,9 @@ def _joined(c: Column | str, sep: str = "|") -> Column:
 
 
 def _far_repeats(spark: SparkSession) -> None:
-    """For results whose rows repeat each other farther apart than the 64 KB in which snappy, Spark's default, looks: their
-    Parquet files are written with zstd, which looks 2 MB back. The codec is a session's, read when files are written; one
-    that the session was given stays."""
+    """For results that grow with the square of a name and repeat themselves, also farther apart than the 64 KB in which snappy,
+    Spark's default, looks: their Parquet files are written with zstd, which looks 2 MB back. The codec is a session's, read
+    when files are written; one that the session was given stays."""
     if (codec := "spark.sql.parquet.compression.codec") not in spark.conf.getAll:
         spark.conf.set(codec, "zstd")
 
@@ -130,9 +130,11 @@ def abstained_resolutions(spark, sf_dir):
 FROM part a JOIN part b ON array_to_string(list_sort(string_split(a.p_name, ' ')), ' ') = array_to_string(list_sort(string_split(b.p_name, ' ')), ' ') AND a.p_partkey < b.p_partkey""")
 def linkage_evidence(spark, sf_dir):
     """Pairs of one name, whatever their brands."""
+    _far_repeats(spark)
     part = _t(spark, sf_dir, "part").withColumns({"k": text.token_multiset(F.lower("p_name")), "title": text.credential(F.col("p_type"))})
-    out = linkage.same_name_pairs(part, "p_partkey", "k", "p_name", "title")
-    return out.select(F.col("a.p_partkey").alias("part_a"), F.col("b.p_partkey").alias("part_b"), (F.col("a.p_name") == F.col("b.p_name")).alias("ordered"), text.credentials_consistent(F.col("a.title"), F.col("b.title")).alias("consistent"))
+    judge = lambda a, b: {"ordered": a["p_name"] == b["p_name"], "consistent": text.credentials_consistent(a["title"], b["title"])}
+    out = linkage.same_name_pairs(part, "p_partkey", "k", "p_name", "title", judge=judge)
+    return out.select(F.col("a.p_partkey").alias("part_a"), F.col("b.p_partkey").alias("part_b"), "ordered", "consistent")
 
 
 @query("""SELECT 'supplier' AS institution, s_suppkey AS record_id, trim(s_name) AS display_name FROM supplier UNION ALL SELECT 'customer', c_custkey, trim(c_name) FROM customer UNION ALL SELECT 'part', p_partkey, coalesce(nullif(trim(p_name), ''), p_brand) FROM part""")

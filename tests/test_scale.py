@@ -66,6 +66,32 @@ def test_lists_longer_than_a_window_take_little_disk(spark, tmp_path):
     assert given.conf.get("spark.sql.parquet.compression.codec") == "gzip"
 
 
+def test_pairs_take_little_disk(spark, tmp_path):
+    """linkage_evidence: 1,124,250 pairs of one name, as SQL has them, written in under half a byte each even by snappy."""
+    n = 1500
+    titles = [("SMALL BRASS", "brass", "doctor en medicina", "Small", None)[i * i % 5] for i in range(n)]
+    pd.DataFrame({"p_partkey": [i * 7919 % n for i in range(n)], "p_name": [("hot part", "part hot")[i % 3 == 0] for i in range(n)], "p_type": titles}).to_parquet(f"{tmp_path}/part.parquet")
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    catalog.QUERIES["linkage_evidence"](own, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    rows = pq.read_table(f"{tmp_path}/out").to_pandas().sort_values(["part_a", "part_b"])
+    assert list(zip(rows.part_a, rows.part_b)) == [(i, j) for i in range(n) for j in range(i + 1, n)]
+    same_as_sql(own.read.parquet(f"{tmp_path}/out").where("part_a < 40"), f"SELECT * FROM ({catalog.ORACLES['linkage_evidence']}) WHERE part_a < 40", str(tmp_path))
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < len(rows) / 2
+
+
+def test_pairs_of_blocks(spark, monkeypatch):
+    """Repeated and missing ids, missing keys and fields, blocks of any size: all pairs, each once."""
+    rows = [(7 * i % 50, "hot" if i % 4 else "cold", (None, "x", "y")[i % 3]) for i in range(120)] + [(None, "hot", "x"), (1, None, "x"), (2, None, "x")]
+    table = spark.createDataFrame(rows, "id long, k string, f string")
+    held = [r for r in rows if None not in r[:2]]
+    want = [((a[0], a[2]), (b[0], b[2]), a[2] == b[2] if a[2] and b[2] else None) for a in held for b in held if a[1] == b[1] and a[0] < b[0]]
+    for block in (1, 3, 128):
+        monkeypatch.setattr(linkage, "BLOCK", block)
+        got = linkage.same_name_pairs(table, "id", "k", "f", judge=lambda a, b: {"same": a["f"] == b["f"]}).collect()
+        assert sorted(map(str, want)) == sorted(str((tuple(r.a), tuple(r.b), r.same)) for r in got)
+
+
 def test_long_schedules_have_tasks_of_their_own(spark, monkeypatch):
     """Lists are joined once, not once a record; no task has two long ones; nothing is lost, whatever counts as long."""
     query, sql = catalog.QUERIES["directory_schedules"], catalog.ORACLES["directory_schedules"]
